@@ -1,0 +1 @@
+"""Intentionally empty: the share engine is batch only, there is no streaming operator to provide."""
