@@ -25,26 +25,28 @@ def value_type(text: Column, pattern: str | None = None) -> Column:
     )
 
 
-def _common(kinds: Column) -> Column:
+def _infer(pairs: DataFrame, pattern: str | None) -> DataFrame:
     """Same type, else the widest numeric one, else text; text when there is no value at all."""
-    numeric = F.array(*[F.lit(k) for k in NUMERIC])
-    widest = F.when(F.array_contains(kinds, "double"), "double").when(F.array_contains(kinds, "bigint"), "bigint")
-    return (
-        F.when(F.size(kinds) == 1, kinds[0])
-        .when((F.size(kinds) > 1) & (F.size(F.array_except(kinds, numeric)) == 0), widest)
+    kind = value_type(F.col("value"), pattern)
+    seen = {name: F.bool_or(F.col("kind") == name) for name in (*NUMERIC, "timestamp", "boolean", "string")}
+    flags = pairs.select("column", kind.alias("kind")).groupBy("column").agg(*[flag.alias(name) for name, flag in seen.items()])
+    some = {name: F.coalesce(F.col(name), F.lit(False)) for name in seen}
+    numeric = some["int"] | some["bigint"] | some["double"]
+    common = (
+        F.when(some["string"] | (some["timestamp"] & some["boolean"]) | (numeric & (some["timestamp"] | some["boolean"])), "string")
+        .when(some["timestamp"], "timestamp")
+        .when(some["boolean"], "boolean")
+        .when(some["double"], "double")
+        .when(some["bigint"], "bigint")
+        .when(some["int"], "int")
         .otherwise("string")
     )
-
-
-def _infer(pairs: DataFrame, pattern: str | None) -> DataFrame:
-    # A column keeps at most the six type names, so the set stays tiny and is merged before the shuffle.
-    kinds = F.collect_set(value_type(F.col("value"), pattern))
-    return pairs.groupBy("column").agg(kinds.alias("kinds")).select("column", _common(F.col("kinds")).alias("type"))
+    return flags.select("column", common.alias("type"))
 
 
 def infer_columns(df: DataFrame, pattern: str | None = None) -> DataFrame:
     """``column, type`` of every (text) column."""
-    return _infer(df.unpivot([], df.columns, "column", "value"), pattern)
+    return _infer(df.unpivot([], [F.col(f"`{c}`") for c in df.columns], "column", "value"), pattern)
 
 
 def infer_map(df: DataFrame, column: str, pattern: str | None = None) -> DataFrame:

@@ -56,7 +56,7 @@ def resolve(
     valid: tuple[str, str] = VALIDITY,
     calendar: tuple[str, str] = CALENDAR,
 ) -> DataFrame:
-    """Disjoint segments ``keys, bucket, first, until, w`` where ``w.v`` holds the values of the last valid row."""
+    """Disjoint segments ``keys, __bucket, __first, __until, __w``; ``__w.v`` holds the values of the last valid row."""
     origin, last = _days(calendar)
     names = list(keys)
     start, end = _bound(dim, valid[0]), _bound(dim, valid[1])
@@ -96,7 +96,10 @@ def resolve(
         .agg(F.max("w").alias("w"))
     )
     bucket = F.sequence(_bucket(F.col("first")), _bucket(F.col("until") - 1))
-    return segments.select(*names, F.explode(bucket).alias("bucket"), "first", "until", "w")
+    return segments.select(
+        *names, F.explode(bucket).alias("__bucket"),
+        F.col("first").alias("__first"), F.col("until").alias("__until"), F.col("w").alias("__w"),
+    )
 
 
 def _bucket(day: Column) -> Column:
@@ -127,27 +130,35 @@ def last_match(
     a date, or midnight as timestamp or epoch seconds. NULL keys and NULL days match nothing.
     """
     keys = {f"__k{i}": F.col(name) for i, name in enumerate(on.values())}
+    if day is not None:
+        return attach(fact, join_side(resolve(dim, keys, values, order_by, valid, calendar)), list(on), out, day, calendar)
+    rows = dim.select(
+        *[key.alias(name) for name, key in keys.items()], _winner(row_order(dim, order_by), values).alias(out)
+    ).where(_all_known(list(keys)))
+    side = join_side(rows.groupBy(*keys).agg(F.max(out).alias(out)))
+    return fact.join(side, _same(list(on)), "left").drop(*keys)
+
+
+def _same(columns: Sequence[str]) -> Column:
     test = F.lit(True)
-    for name, column in zip(keys, on):
-        test = test & (F.col(column) == F.col(name))
-    if day is None:
-        rows = dim.select(
-            *[key.alias(name) for name, key in keys.items()],
-            _winner(row_order(dim, order_by), values).alias(out),
-        ).where(_all_known(list(keys)))
-        side = join_side(rows.groupBy(*keys).agg(F.max(out).alias(out)))
-        return fact.join(side, test, "left").drop(*keys)
-    span = {"bucket": "__bucket", "first": "__first", "until": "__until"}
-    resolved = resolve(dim, keys, values, order_by, valid, calendar)
-    side = join_side(resolved.withColumnsRenamed(span | {"w": out}))
+    for i, column in enumerate(columns):
+        test = test & (F.col(column) == F.col(f"__k{i}"))
+    return test
+
+
+def attach(
+    fact: DataFrame, side: DataFrame, on: Sequence[str], out: str, day: str, calendar: tuple[str, str] = CALENDAR
+) -> DataFrame:
+    """Join resolved segments, whose keys are ``__k0, __k1, ...``, to the fact columns ``on``."""
     test = (
-        test
+        _same(on)
         & (_bucket(F.col("__day")) == F.col("__bucket"))
         & (F.col("__first") <= F.col("__day"))
         & (F.col("__day") < F.col("__until"))
     )
     dated = fact.withColumn("__day", _day_number(fact, day, calendar))
-    return dated.join(side, test, "left").drop(*keys, *span.values(), "__day")
+    joined = dated.join(side.withColumnRenamed("__w", out), test, "left")
+    return joined.drop(*[f"__k{i}" for i in range(len(on))], "__bucket", "__first", "__until", "__day")
 
 
 def _day_number(fact: DataFrame, day: str, calendar: tuple[str, str]) -> Column:

@@ -16,7 +16,8 @@ from spotshare import model
 from spotshare.functions.temporal import inside, moment
 from spotshare.operators import params as parameters
 from spotshare.operators.facts import codes_in_group, codes_on_channel
-from spotshare.operators.intervals import VALIDITY, last_match, last_row, member
+from spotshare.operators.intervals import VALIDITY, attach, last_match, last_row, member, resolve, row_order
+from spotshare.plans.staging import join_side
 
 LAST_ROW = "last_row"
 ANY = "any"
@@ -248,9 +249,18 @@ def filtered_flag(fact: DataFrame, rules: DataFrame, day: str = "fecha_dia", ord
         "__by_subsidiary": {"cod_anunciante_subsidiario": "cod_anunciante_kantar", **campaign},
         "__by_programme": {"cod_cadena": "cod_cadena", "cod_programa": "cod_programa", "cod_tipologia": "cod_tipologia"},
     }
+    # The branches have three keys each, so one pass over the rules resolves them all.
+    ways = [
+        F.struct(F.lit(out).alias("__branch"), *[F.col(c).cast("bigint").alias(f"__k{i}") for i, c in enumerate(on.values())])
+        for out, on in branches.items()
+    ]
+    keys = {name: F.col(f"__way.{name}") for name in ("__branch", "__k0", "__k1", "__k2")}
+    order = row_order(drop, order_by)
+    resolved = resolve(drop.withColumn("__way", F.explode(F.array(*ways))), keys, {"hit": F.lit(True)}, order)
+    side = join_side(resolved)
     joined = fact
     for out, on in branches.items():
-        joined = last_match(joined, drop, on, {"hit": F.lit(True)}, out, day, order_by)
+        joined = attach(joined, side.where(F.col("__branch") == out).drop("__branch"), list(on), out, day)
     hit = reduce(lambda a, b: a | b, [F.col(out).isNotNull() for out in branches])
     inputs = ("cod_anunc", "cod_anunciante_subsidiario", "cod_anuncio", "cod_cadena", "cod_programa", "cod_tipologia")
     flag = _known(F.when(hit, 1).otherwise(0), day, *inputs).cast("bigint")

@@ -17,31 +17,27 @@ def _unique(source: DataFrame, key: str) -> DataFrame:
     return source.where(F.when(most > 1, F.raise_error(message).cast("boolean")).otherwise(True))
 
 
-def _sides(target: DataFrame, source: DataFrame, key: str) -> tuple[DataFrame, Column]:
-    renamed = _unique(source, key).withColumnsRenamed({c: f"__new_{c}" for c in source.columns})
-    return renamed.withColumn("__hit", F.lit(True)), F.col(key) == F.col(f"__new_{key}")
-
+def update(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Rows of ``target``; where the key is in ``source`` its columns replace the old values, NULLs included."""
+    side = _unique(source, key).withColumnsRenamed({c: f"__new_{c}" for c in source.columns}).withColumn("__hit", F.lit(True))
 
-def _columns(target: DataFrame, source: DataFrame, key: str) -> list[Column]:
     def pick(name: str) -> Column:
         if name not in source.columns:
             return F.col(name)
         return F.when(F.col("__hit"), F.col(f"__new_{name}")).otherwise(F.col(name)).alias(name)
 
     added = [F.col(f"__new_{c}").alias(c) for c in source.columns if c not in target.columns]
-    return [pick(c) for c in target.columns] + added
-
-
-def update(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Rows of ``target``; where the key is in ``source`` its columns replace the old values, NULLs included."""
-    side, test = _sides(target, source, key)
-    return target.join(side, test, "left").select(*_columns(target, source, key))
+    joined = target.join(side, F.col(key) == F.col(f"__new_{key}"), "left")
+    return joined.select(*[pick(c) for c in target.columns], *added)
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """``update``, plus the rows of ``source`` whose key is new."""
-    side, test = _sides(target, source, key)
-    return target.join(side, test, "full_outer").select(*_columns(target, source, key))
+    """``update``, plus the rows of ``source`` whose key is new.
+
+    A left and an anti join instead of a full outer one, because adaptive execution can split their hot partitions.
+    """
+    new = source.join(target.select(key), key, "left_anti")
+    return update(target, source, key).unionByName(new, allowMissingColumns=True)
 
 
 def apply(target: DataFrame, source: DataFrame, operation: str, key: str = "Id") -> DataFrame:

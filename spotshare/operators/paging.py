@@ -15,9 +15,11 @@ def positioned(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
     """Add 0-based ``position`` in the given total order.
 
     The sorted rows are written once with their partition-local positions; the offset of each partition comes from
-    the partition counts. No task sees more than its own range of keys.
+    the partition counts. No task sees more than its own range of keys; rows with equal keys are ranged by a hash of
+    the whole row, so that a hot key is spread as well.
     """
-    staged = write_stage(df.orderBy(*order_by).withColumn("__id", F.monotonically_increasing_id()), "sorted")
+    ties = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    staged = write_stage(df.orderBy(*order_by, ties).withColumn("__id", F.monotonically_increasing_id()), "sorted")
     part = F.shiftrightunsigned("__id", _SHIFT)
     counts = staged.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
     # One row for each written partition.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 # A side is broadcast only when a count over its written rows proves it within both bounds.
 MAX_BROADCAST_ROWS = 1_000_000
@@ -48,23 +48,24 @@ def _width(value: Column, kind: T.DataType) -> Column:
     return F.lit(kind.defaultSize if hasattr(kind, "defaultSize") else 16)
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Row count and uncompressed byte size."""
+def _size(df: DataFrame) -> tuple[Column, Column]:
+    """Row count and uncompressed byte size as aggregates."""
     width = F.lit(0)
     for field in df.schema.fields:
         width = width + _width(F.col(f"`{field.name}`"), field.dataType)
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
-    return rows, size or 0
+    return F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes")
 
 
 def join_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """A lookup side ready to join: written once, measured, and broadcast only within the bounds.
+    """A lookup side ready to join: written once, measured while it is written, broadcast only within the bounds.
 
     Beyond them the side is joined by a shuffle on the join keys, where adaptive execution splits hot partitions
-    of the fact; the side itself holds at most one matching row for each fact row.
+    of the fact; the side itself holds at most one matching row for each fact row. A retried task can only raise the
+    measured size, never lower it.
     """
-    side = write_stage(df, "side")
-    rows, size = measure(side)
-    if rows <= max_rows and size <= max_bytes:
+    seen = Observation()
+    side = write_stage(df.observe(seen, *_size(df)), "side")
+    size = seen.get
+    if size["rows"] <= max_rows and size["bytes"] <= max_bytes:
         return F.broadcast(side)
     return side.hint("merge")

@@ -36,14 +36,15 @@ def save_table(
     """
     if partition_by is not None:
         df = df.hint("rebalance", F.col(partition_by))
-    writer = df.write.format(file_format).option("compression", compression).option("path", path)
-    if replace_partitions and partition_by is not None and df.sparkSession.catalog.tableExists(table):
-        writer = df.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-        writer.insertInto(table, overwrite=True)
-        return
+    writer = df.write.format(file_format).option("compression", compression)
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
-    writer.mode(mode).saveAsTable(table)
+    if replace_partitions and partition_by is not None and df.sparkSession.catalog.tableExists(table):
+        writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").save(path)
+        df.sparkSession.catalog.recoverPartitions(table)
+        df.sparkSession.catalog.refreshTable(table)
+        return
+    writer.option("path", path).mode(mode).saveAsTable(table)
 
 
 def dataset_mode(mode: str | None, upsert: bool = False) -> str:
