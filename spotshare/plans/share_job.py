@@ -12,6 +12,12 @@ from spotshare.functions.temporal import day_to_timestamp, month_key
 from spotshare.operators import facts as fact_ops, lookups
 
 
+LOOKUP_INPUTS = [
+    "fecha_dia", "cod_cadena", "nom_cadena", "cod_anuncio", "cod_anunc", "cod_anunciante_subsidiario", "cod_programa",
+    "cod_tipologia", "cod_comunicacion", "duracion",
+]
+
+
 @dataclass(frozen=True)
 class Dimensions:
     business_lines: DataFrame
@@ -37,7 +43,9 @@ def share_table(
     """
     scanned = fact_ops.scan_facts(facts, month)
     codes = fact_ops.codes_on_channel(scanned, children_channel)
-    share = fact_ops.daily_aggregate(scanned).withColumn("fecha_dia", day_to_timestamp(F.col("fecha_dia")))
+    daily = fact_ops.daily_aggregate(scanned).withColumn("fecha_dia", day_to_timestamp(F.col("fecha_dia")))
+    # The lookups read ten of the 89 columns. Packed into one struct the others cross each join as a single value.
+    share = daily.select(F.struct(*model.KEYS, *model.MEASURES).alias("__fact"), *LOOKUP_INPUTS)
     share = lookups.line_columns(share, dims.business_lines, dims.parameters)
     share = lookups.regional_flag(share, dims.channels, policy)
     share = lookups.forta_flag(share, dims.channels, policy)
@@ -49,4 +57,4 @@ def share_table(
     share = lookups.programme_event(share, dims.events, policy)
     labels = {c: yes_no(F.col(c.replace("nom_fg", "cod_fg"))) for c in model.DERIVED if c.startswith("nom_fg")}
     share = share.withColumns(labels | {"fecha_part": month_key(F.col("fecha_dia"))})
-    return share.select(*model.KEYS, *model.MEASURES, *model.DERIVED, "fecha_part")
+    return share.select("__fact.*", *model.DERIVED, "fecha_part")
