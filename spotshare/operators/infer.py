@@ -12,36 +12,39 @@ from spotshare.functions import casts
 NUMERIC = ("int", "bigint", "double")
 
 
+# Types in test order; a value counts for the first that reads it.
+KINDS = (*NUMERIC, "timestamp", "boolean", "string")
+
+
 def value_type(text: Column, pattern: str | None = None) -> Column:
-    """First type of integer, long, double, timestamp, boolean, string that reads the value; NULL for blanks."""
-    return (
-        F.when(text.isNull() | (text == ""), F.lit(None))
-        .when(casts.whole_number(text, T.IntegerType()).isNotNull(), "int")
-        .when(casts.whole_number(text, T.LongType()).isNotNull(), "bigint")
-        .when(text.rlike(casts.DOUBLE_TEXT), "double")
-        .when(casts.timestamp(text, pattern).isNotNull(), "timestamp")
-        .when(casts.boolean(text).isNotNull(), "boolean")
-        .otherwise("string")
+    """Position in ``KINDS`` of the type of one value; NULL for blanks."""
+    whole = casts.whole_number(text, T.LongType())
+    small = whole.between(-(1 << 31), (1 << 31) - 1)
+    tests = (
+        small,
+        whole.isNotNull(),
+        text.rlike(casts.DOUBLE_TEXT),
+        casts.timestamp(text, pattern).isNotNull(),
+        casts.boolean(text).isNotNull(),
     )
+    kind = F.when(text.isNull() | (text == ""), F.lit(None))
+    for position, test in enumerate(tests):
+        kind = kind.when(test, position)
+    return kind.otherwise(len(tests))
 
 
 def _infer(pairs: DataFrame, pattern: str | None) -> DataFrame:
-    """Same type, else the widest numeric one, else text; text when there is no value at all."""
-    kind = value_type(F.col("value"), pattern)
-    seen = {name: F.bool_or(F.col("kind") == name) for name in (*NUMERIC, "timestamp", "boolean", "string")}
-    flags = pairs.select("column", kind.alias("kind")).groupBy("column").agg(*[flag.alias(name) for name, flag in seen.items()])
-    some = {name: F.coalesce(F.col(name), F.lit(False)) for name in seen}
-    numeric = some["int"] | some["bigint"] | some["double"]
+    """Same type, else the widest numeric one, else text; text when there is no value at all.
+
+    The types seen in a column are bits of one number, which partial aggregation merges before the shuffle.
+    """
+    kinds = pairs.select("column", value_type(F.col("value"), pattern).alias("kind"))
+    seen = kinds.select("column", F.expr("shiftleft(1, kind)").alias("seen")).groupBy("column")
+    numeric = F.when(F.col("seen") >= 4, "double").when(F.col("seen") >= 2, "bigint").otherwise("int")
     common = (
-        F.when(some["string"] | (some["timestamp"] & some["boolean"]) | (numeric & (some["timestamp"] | some["boolean"])), "string")
-        .when(some["timestamp"], "timestamp")
-        .when(some["boolean"], "boolean")
-        .when(some["double"], "double")
-        .when(some["bigint"], "bigint")
-        .when(some["int"], "int")
-        .otherwise("string")
+        F.when(F.col("seen").between(1, 7), numeric).when(F.col("seen") == 8, "timestamp").when(F.col("seen") == 16, "boolean")
     )
-    return flags.select("column", common.alias("type"))
+    return seen.agg(F.bit_or("seen").alias("seen")).select("column", common.otherwise("string").alias("type"))
 
 
 def infer_columns(df: DataFrame, pattern: str | None = None) -> DataFrame:
@@ -85,12 +88,14 @@ def apply_schema(
         return F.col(f"`{name}`") if name in present else F.lit(None).cast("string")
 
     def value(field: T.StructField) -> Column:
-        text = F.coalesce(raw(field.name), F.lit(""))
+        text = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.StringType):
             return F.url_encode(text) if field.name in encode else text
         return casts.typed(text, field.dataType, pattern)
 
-    return df.select(*keep, *[value(field).alias(field.name) for field in schema.fields])
+    # The texts are a projection of their own, so that each is read once however often its cast looks at it.
+    texts = df.select(*keep, *[F.coalesce(raw(f.name), F.lit("")).alias(f.name) for f in schema.fields])
+    return texts.select(*keep, *[value(field).alias(field.name) for field in schema.fields])
 
 
 def url_encode_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
