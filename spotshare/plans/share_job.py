@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spotshare import model
 from spotshare.functions.labels import yes_no
 from spotshare.functions.temporal import day_to_timestamp, month_key
 from spotshare.operators import facts as fact_ops, lookups
+from spotshare.operators.conform import conform
+from spotshare.sources.tables import read_table, save_table
 
 
 LOOKUP_INPUTS = [
@@ -58,3 +61,46 @@ def share_table(
     labels = {c: yes_no(F.col(c.replace("nom_fg", "cod_fg"))) for c in model.DERIVED if c.startswith("nom_fg")}
     share = share.withColumns(labels | {"fecha_part": month_key(F.col("fecha_dia"))})
     return share.select("__fact.*", *model.DERIVED, "fecha_part")
+
+
+def run(
+    spark: SparkSession,
+    config: Mapping[str, str],
+    month: str | None = None,
+    policy: str = lookups.LAST_ROW,
+    replace_partitions: bool = False,
+) -> DataFrame:
+    """Read, enrich and write the share table.
+
+    ``config`` names the inputs as ``db.table`` or path: ``facts``, ``campaign_targets`` and the raw entities
+    ``business_lines``, ``channels``, ``rules``, ``events``, ``parameters``. The outputs are ``share_table`` at
+    ``share_path`` and the typed channel dimension ``channels_table`` at ``channels_path``; ``format`` and
+    ``compression`` apply to both. With ``replace_partitions`` only the months that were computed are replaced.
+    """
+    entities = {
+        "business_lines": "linea_negocio", "channels": "agrup_cadenas", "rules": "configuraciones", "events": "eventos",
+        "parameters": "parametros",
+    }
+    typed = {name: conform(read_table(spark, config, name), entity) for name, entity in entities.items()}
+    stored = {"file_format": config.get("format", "parquet"), "compression": config.get("compression", "none")}
+    save_table(typed["channels"], config["channels_table"], config["channels_path"], **stored)
+    dims = Dimensions(
+        business_lines=typed["business_lines"],
+        channels=spark.table(config["channels_table"]),
+        rules=typed["rules"],
+        campaign_targets=read_table(spark, config, "campaign_targets"),
+        events=typed["events"],
+        parameters=typed["parameters"],
+    )
+    share = share_table(
+        read_table(spark, config, "facts"),
+        dims,
+        month,
+        policy,
+        int(config.get("children_channel", model.CHILDREN_CHANNEL)),
+        config.get("own_group", model.OWN_GROUP),
+    )
+    save_table(
+        share, config["share_table"], config["share_path"], partition_by="fecha_part", replace_partitions=replace_partitions, **stored
+    )
+    return spark.table(config["share_table"])
