@@ -267,3 +267,19 @@ def test_broadcast_needs_a_proven_size(spark):
     assert "broadcast" in hinted(staging.join_side(df))
     assert "merge" in hinted(staging.join_side(df, max_rows=99))
     assert "merge" in hinted(staging.join_side(df, max_bytes=100))
+
+
+class _Session:
+    """Settings of a session on some master."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": master + "-app"})
+
+
+def test_shared_folder():
+    assert staging.shared_folder(_Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    local = staging.shared_folder(_Session("local[2]"))
+    assert local == staging.shared_folder(_Session("local[2]")) and "spotshare-" in local
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_folder(_Session("yarn"))

@@ -95,8 +95,8 @@ def _write_pages(spark: SparkSession, sf: str, field: str) -> str:
     note = F.struct(F.lit("record").alias("type"), F.concat(F.lit("/c/"), F.col("c_custkey")).alias("url"))
     rows = (
         table(spark, sf, "customer")
-        .join(F.broadcast(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     nation = F.struct(note.alias("attributes"), F.col("n_name"), F.struct("r_name").alias("region"))
     record = F.struct(note.alias("attributes"), "c_custkey", "c_name", nation.alias("nation"))

@@ -185,7 +185,7 @@ RULES["flag_filtrado"] = (
           AND (d.cod_anunciante_pe = src.cod_anunc OR d.cod_anunciante_kantar = src.cod_anunciante_subsidiario))
         OR EXISTS (SELECT 1 FROM tb_configuraciones d WHERE lower(des_accion) = 'filtrar' AND {_VALID.format('d')}
           AND d.cod_cadena = src.cod_cadena AND d.cod_programa = src.cod_programa AND d.cod_tipologia = src.cod_tipologia)
-        THEN 1 ELSE 0 END""")})
+        THEN CAST(1 AS BIGINT) ELSE 0 END""")})
 
 RULES["lookup_eventos"] = (
     ["tb_eventos"], ["last_event AS (SELECT * FROM tb_eventos ORDER BY ord DESC LIMIT 1)"], ["LEFT JOIN last_event e ON TRUE"],
