@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spotshare import model
 from spotshare.functions.labels import yes_no
-from spotshare.functions.temporal import day_to_timestamp, month_key
+from spotshare.functions.temporal import current_month, day_to_timestamp, month_key
 from spotshare.operators import facts as fact_ops, lookups
 from spotshare.operators.conform import conform
 from spotshare.sources.tables import read_table, save_table
@@ -63,6 +63,11 @@ def share_table(
     return share.select("__fact.*", *model.DERIVED, "fecha_part")
 
 
+def month_argument(spark: SparkSession, month: str | None) -> str | None:
+    """A ``yyyy-MM`` month, None for all days; "current" is the month of now."""
+    return spark.range(1).select(current_month()).first()[0] if month == "current" else month
+
+
 def run(
     spark: SparkSession,
     config: Mapping[str, str],
@@ -75,7 +80,7 @@ def run(
     ``config`` names the inputs as ``db.table`` or path: ``facts``, ``campaign_targets`` and the raw entities
     ``business_lines``, ``channels``, ``rules``, ``events``, ``parameters``. The outputs are ``share_table`` at
     ``share_path`` and the typed channel dimension ``channels_table`` at ``channels_path``; ``format`` and
-    ``compression`` apply to both. With ``replace_partitions`` only the months that were computed are replaced.
+    ``compression`` apply to both. ``month`` limits the facts (``yyyy-MM`` or "current"). With ``replace_partitions`` only the months that were computed are replaced.
     """
     entities = {
         "business_lines": "linea_negocio", "channels": "agrup_cadenas", "rules": "configuraciones", "events": "eventos",
@@ -95,7 +100,7 @@ def run(
     share = share_table(
         read_table(spark, config, "facts"),
         dims,
-        month,
+        month_argument(spark, month),
         policy,
         int(config.get("children_channel", model.CHILDREN_CHANNEL)),
         config.get("own_group", model.OWN_GROUP),
