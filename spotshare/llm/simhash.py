@@ -1,9 +1,10 @@
 """SimHash near-duplicates by tiled exact comparison of fingerprints.
 
-A fingerprint's population counts of its four 16-bit quarters name its tile. Two fingerprints that differ in r bits have
-quarter counts that differ by at most r in sum, so only such tiles are compared, and every pair within the radius is
-compared: the result is exact. Tiles are cut into blocks of bounded size; a task compares one block with one block by
-exclusive-or and bit counts.
+The population counts of a fingerprint's parts (four of 16 bits, say) name its tile. Two fingerprints that differ in r bits
+have counts that differ by at most r in sum, so only such tiles are compared, and every pair within the radius is compared:
+the result is exact. Tiles are cut into blocks of bounded size; a task compares one block with one block by exclusive-or
+and bit counts. For a wide radius, where chance pairs occur, every pair within it is also held against a sketch of both
+texts' shingles, in the same task.
 """
 
 from __future__ import annotations
@@ -20,45 +21,56 @@ from spotshare.llm.common import batch_of, encoded
 from spotshare.llm.components import components
 from spotshare.plans.staging import write_stage
 
-QUARTERS = 4
 BLOCK = 2048  # fingerprints in a block of a tile
+BINS = 64  # bytes of a sketch
+WIDE = 12  # bits: four fifths of 64 agree
+AGREEMENT = 0.75  # of two sketches: what all but a tenth of the pairs of similarity 0.8 have
+_PAIRS_AT_ONCE = 1 << 18
 _HASHES_AT_ONCE = 1 << 16
 
 
-def fingerprint(text: bytes, words: int = 3) -> int:
-    """The SimHash of a text: bits that are set in over half of the XXH64 (seed 42) of its word shingles; 0 without words."""
+def fingerprint(text: bytes, words: int = 3) -> tuple[int, bytes]:
+    """The SimHash of a text, and a sketch of its shingles.
+
+    SimHash: bits that are set in over half of the XXH64 (seed 42) of its word shingles; 0 without words. Sketch: the shingles'
+    hashes are dealt over BINS bins, and each keeps a byte of its smallest; 0 where there is none.
+    """
     w = text.lower().split()
     if not w:
-        return 0
+        return 0, bytes(BINS)
     hashes = [xxhash.xxh64_intdigest(b" ".join(w), 42)] if len(w) < words else (
         xxhash.xxh64_intdigest(s, 42) for s in map(b" ".join, zip(*(w[i:] for i in range(words))))
     )
     hashes = iter(hashes)
-    total, ones = 0, np.zeros(64, dtype=np.int64)
+    total, ones, low = 0, np.zeros(64, dtype=np.int64), np.full(BINS, np.iinfo(np.uint64).max, dtype=np.uint64)
     while len(part := np.fromiter(itertools.islice(hashes, _HASHES_AT_ONCE), dtype=np.uint64)):
         bits = np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         for i in range(0, len(bits), 255):
             ones += bits[i : i + 255].sum(axis=0, dtype=np.uint8)
+        np.minimum.at(low, (part % np.uint64(BINS)).astype(np.int64), part // np.uint64(BINS))
         total += len(part)
-    return int(np.packbits(2 * ones > total).view(">u8")[0])
+    sketch = np.where(low == np.iinfo(np.uint64).max, 0, 1 + low % np.uint64(255)).astype(np.uint8)
+    return int(np.packbits(2 * ones > total).view(">u8")[0]), sketch.tobytes()
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``doc_id`` and its ``fingerprint`` (the 64 bits as a signed long) for every row; a NULL text is empty (0)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.int64())])
+    """``doc_id``, ``fingerprint`` (64 bits as a signed long) and ``sketch`` of every row; a NULL text is empty."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.int64()), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(t, words) for t in encoded(batch.column(1))], dtype=np.uint64)
-            yield batch_of(schema, doc_id=batch.column(0), fingerprint=prints.view(np.int64))
+            found = [fingerprint(t, words) for t in encoded(batch.column(1))]
+            prints = np.array([f for f, _ in found], dtype=np.uint64)
+            yield batch_of(schema, doc_id=batch.column(0), fingerprint=prints.view(np.int64), sketch=[k for _, k in found])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fingerprint long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, fingerprint long, sketch binary")
 
 
-def _near_tiles(radius: int) -> list[tuple[int, ...]]:
-    """Differences of quarter counts within the radius: none, or the first that differs is positive."""
-    steps = [d for d in itertools.product(range(-radius, radius + 1), repeat=QUARTERS) if sum(map(abs, d)) <= radius]
-    return [d for d in steps if d >= (0,) * QUARTERS]
+def _near_tiles(radius: int, parts: int) -> list[tuple[int, ...]]:
+    """Differences of the parts' counts within the radius: none, or the first that differs is positive."""
+    steps = [d for d in itertools.product(range(-radius, radius + 1), repeat=parts) if sum(map(abs, d)) <= radius]
+    return [d for d in steps if d >= (0,) * parts]
 
 
 def _forest(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,14 +89,24 @@ def _forest(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -
         label = new
 
 
-def _links(left: np.ndarray, right: np.ndarray, radius: int, rows: int = 256) -> tuple[np.ndarray, np.ndarray]:
+def _alike(one: np.ndarray, other: np.ndarray, agreement: float) -> np.ndarray:
+    """Which rows of two tables of sketches agree in that share of the bins that either has filled."""
+    filled = np.maximum((one != 0).sum(1, dtype=np.int32), 0) + ((one == 0) & (other != 0)).sum(1, dtype=np.int32)
+    same = ((one == other) & (one != 0)).sum(1, dtype=np.int32)
+    return same >= agreement * filled
+
+
+def _links(nodes_a, prints_a, sketches_a, nodes_b, prints_b, sketches_b, radius: int, agreement: float, rows: int = 256):
     """A spanning forest of the links between two blocks: never more links than nodes."""
-    found_a, found_b = [left[:0]], [left[:0]]
-    for i in range(0, len(left), rows):
-        part = left[i : i + rows]
-        a, b = np.nonzero(np.bitwise_count(part[:, None] ^ right[None, :]) <= radius)
+    found_a, found_b = [nodes_a[:0]], [nodes_a[:0]]
+    for i in range(0, len(nodes_a), rows):
+        a, b = np.nonzero(np.bitwise_count(prints_a[i : i + rows, None] ^ prints_b[None, :]) <= radius)
+        if agreement and len(a):
+            parts = [slice(k, k + _PAIRS_AT_ONCE) for k in range(0, len(a), _PAIRS_AT_ONCE)]
+            alike = np.concatenate([_alike(sketches_a[i + a[p]], sketches_b[b[p]], agreement) for p in parts])
+            a, b = a[alike], b[alike]
         if len(a):
-            nodes, roots = _forest(part, right, a, b)
+            nodes, roots = _forest(nodes_a[i : i + rows], nodes_b, a, b)
             found_a.append(nodes)
             found_b.append(roots)
     a, b = np.concatenate(found_a), np.concatenate(found_b)
@@ -95,32 +117,32 @@ def _links(left: np.ndarray, right: np.ndarray, radius: int, rows: int = 256) ->
     return a[apart], b[apart]
 
 
-def _tile(print_: Column) -> Column:
-    """The four quarter counts, a byte each."""
-    name = F.lit(0).cast("long")
-    for q in range(QUARTERS):
-        count = F.bit_count(F.shiftrightunsigned(print_, 16 * q).bitwiseAND(F.lit(0xFFFF).cast("long")))
+def _tile(print_: Column, parts: int) -> Column:
+    """The counts of the parts, a byte each."""
+    name, width = F.lit(0).cast("long"), 64 // parts
+    for q in range(parts):
+        part = F.shiftrightunsigned(print_, width * q)
+        count = F.bit_count(part.bitwiseAND(F.lit((1 << width) - 1).cast("long")) if parts > 1 else part)
         name = name + count.cast("long") * (1 << 8 * q)
     return name
 
 
-def near_links(prints: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFrame:
-    """Links ``a``, ``b`` between different fingerprints that differ in at most ``radius`` bits.
+def near_links(prints: DataFrame, radius: int = 3, parts: int = 4, agreement: float = 0.0, block: int = BLOCK) -> DataFrame:
+    """Links ``a``, ``b`` between different nodes of ``prints`` (``node`` long, ``fingerprint``, ``sketch``) whose fingerprints differ in at
+    most ``radius`` bits, and whose sketches have ``agreement``.
 
     Each pair of blocks returns a spanning forest of its links, so that a block of near copies yields as many links as it has
-    fingerprints; the components of the result are those of all links.
+    nodes; the components of the result are those of all links.
     """
-    own = prints.select(F.col("fingerprint").alias("f")).distinct().withColumn("tile", _tile(F.col("f")))
+    own = prints.select("node", "fingerprint", "sketch").withColumn("tile", _tile(F.col("fingerprint"), parts))
     counts = own.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    tiles = write_stage(own.join(counts, "tile").withColumn("block", F.pmod(F.xxhash64("f"), F.col("blocks")).cast("int"))
-                        .repartition("tile", "block").sortWithinPartitions("tile", "block"), "tiles")
     # a packed block is one row of bounded size: hashing deals a tile's prints evenly over its blocks
     packed = write_stage(
-        tiles.groupBy("tile", "block").agg(F.max("blocks").alias("blocks"), F.collect_list("f").alias("prints")), "blocks"
+        own.join(counts, "tile").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .groupBy("tile", "block").agg(F.max("blocks").alias("blocks"), F.collect_list(F.struct("node", "fingerprint", "sketch")).alias("prints")), "blocks"
     )
-    sizes = packed.select("tile", "blocks").distinct()
-    steps = F.array(*(F.lit(sum(d << 8 * q for q, d in enumerate(delta))).cast("long") for delta in _near_tiles(radius)))
-    heads = sizes.select("tile", F.col("blocks").alias("tile_blocks"))
+    steps = F.array(*(F.lit(sum(d << 8 * q for q, d in enumerate(delta))).cast("long") for delta in _near_tiles(radius, parts)))
+    heads = packed.select("tile", F.col("blocks").alias("tile_blocks")).distinct()
     # the tile pairs whose counts are within the radius, then their block pairs
     pairs = (
         packed.select("tile", "block", F.explode(steps).alias("step"))
@@ -135,16 +157,31 @@ def near_links(prints: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFr
     pairs = pairs.join(side.toDF("tile_b", "block_b", "prints_b"), ["tile_b", "block_b"])
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    def arrays(value: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        node, print_, sketch = value.values.flatten()
+        return node.to_numpy(), print_.to_numpy().view(np.uint64), np.frombuffer(
+            b"".join(sketch.to_pylist()) if agreement else b"", dtype=np.uint8).reshape(-1, BINS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x, y in zip(batch.column(0), batch.column(1)):
-                a, b = _links(*(np.asarray(v.values.to_numpy(zero_copy_only=False)).view(np.uint64) for v in (x, y)), radius)
+                a, b = _links(*arrays(x), *arrays(y), radius, agreement)
                 if len(a):
-                    yield batch_of(schema, a=a.view(np.int64), b=b.view(np.int64))
+                    yield batch_of(schema, a=a, b=b)
 
     return pairs.select("prints_a", "prints_b").mapInArrow(run, "a long, b long")
 
 
+def _classes(own: DataFrame, prints: DataFrame, **links) -> DataFrame:
+    """``node`` and ``component_id`` for the nodes of ``own`` (``doc_id``, ``node``) under the links between ``prints``."""
+    reached = components(near_links(prints, **links))
+    roots = write_stage(
+        own.groupBy("node").agg(F.min("doc_id").alias("first_id")).join(reached, "node", "left").withColumn("root", F.coalesce("root", "node")), "roots"
+    )
+    ids = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return write_stage(roots.join(ids, "root").select("node", "component_id"), "classes")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 3, words: int = 3, block: int = BLOCK) -> DataFrame:
     """``doc_id``, ``fingerprint`` (signed long) and ``component_id`` for every row of ``docs``.
 
@@ -152,13 +189,19 @@ def near_duplicates(docs: DataFrame, radius: int = 3, words: int = 3, block: int
     repeated rows and ids stay, equal fingerprints are always linked, and texts that are NULL, empty or only white space have
     fingerprint 0. A NULL doc_id never is a component's id unless all its ids are NULL. Other columns are not read.
     """
-    own = write_stage(fingerprints(docs, words), "fingerprints")
-    reached = components(near_links(own, radius, block))
-    roots = write_stage(
-        own.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
-        .join(reached.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-        .withColumn("root", F.coalesce("root", "fingerprint")), "roots"
-    )
-    ids = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = write_stage(roots.join(ids, "root").select("fingerprint", "component_id"), "classes")
-    return own.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    own = write_stage(fingerprints(docs, words).select("doc_id", "fingerprint", F.col("fingerprint").alias("node")), "fingerprints")
+    prints = own.select("node", "fingerprint", F.lit(b"").alias("sketch")).distinct()
+    classes = _classes(own, prints, radius=radius, block=block)
+    return own.join(classes, "node").select("doc_id", "fingerprint", "component_id")
+
+
+def near_copies(docs: DataFrame, words: int = 5, radius: int = WIDE, agreement: float = AGREEMENT, block: int = 4 * BLOCK) -> DataFrame:
+    """``doc_id`` and ``component_id`` for every row: groups of texts that share about four fifths of their word shingles.
+
+    Linked are texts whose fingerprints differ in at most ``radius`` bits and whose sketches agree. Rows, NULLs and ids as in
+    ``near_duplicates``; all texts without words are one group.
+    """
+    own = write_stage(fingerprints(docs, words).withColumn("node", F.xxhash64("fingerprint", "sketch")), "fingerprints")
+    prints = own.select("node", "fingerprint", "sketch").dropDuplicates(["node"])
+    classes = _classes(own, prints, radius=radius, parts=1, agreement=agreement, block=block)
+    return own.join(classes, "node").select("doc_id", "component_id")
