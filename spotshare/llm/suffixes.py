@@ -20,9 +20,10 @@ from spotshare.llm.common import CHUNK_BYTES, batch_of, chunks, prefix_sums, spa
 from spotshare.plans.staging import write_stage
 
 LENGTH = 200
-GRAM = 48
+GRAM = 32
 SHALLOW = 16  # bytes that the multikey quicksort looks at
 SUFFIXES_AT_ONCE = 1 << 19
+SLICES_AT_ONCE = 1 << 15
 HOT = 50_000  # places of an anchor whose strings one task sorts; of one with more, strings are dealt to full depth
 _POSITION_BITS = 22
 
@@ -76,35 +77,56 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.select("digest", "content").mapInArrow(run, "digest binary, anchors array<long>, places array<long>")
 
 
+def _pieces(text: bytes, runs: pa.Scalar, length: int) -> dict[tuple, list[int]]:
+    """The different slices of a text's repeated anchors (id, anchor, number of starts, offset, bytes), with their first starts."""
+    found: dict[tuple, list[int]] = {}
+    anchors, places = (x.to_pylist() for x in runs.values.flatten())
+    for anchor, place in zip(anchors, places):
+        start, count, offset = place >> 16, place >> 8 & 255, place & 255
+        piece = text[start : start + count + length - 1]
+        key = hashlib.md5(b"%d %d " % (anchor, offset) + piece).digest()
+        found.setdefault((key, anchor, count, offset, piece), []).append(start)
+    return found
+
+
 def _slices(held: DataFrame, length: int) -> DataFrame:
-    """For each repeated anchor of a text: the bytes that its strings span. Equal slices of a text are one row with all starts."""
+    """The slices around repeated anchors with their bytes. Equal ones of a task, some millions of bytes at a time, are one row."""
     schema = pa.schema([
-        ("digest", pa.binary()), ("id", pa.binary()), ("starts", pa.list_(pa.int32())), ("anchor", pa.int64()),
-        ("count", pa.int32()), ("offset", pa.int32()), ("bytes", pa.binary()),
+        ("id", pa.binary()), ("anchor", pa.int64()), ("count", pa.int32()), ("offset", pa.int32()), ("bytes", pa.binary()), ("copies", pa.int64()),
     ])
 
+    def rows(own: dict[tuple, int]) -> Iterator[pa.RecordBatch]:
+        keys = list(own)
+        for i in range(0, len(keys), 8192):
+            part = keys[i : i + 8192]
+            columns = dict(zip(("id", "anchor", "count", "offset", "bytes"), map(list, zip(*part))))
+            yield batch_of(schema, **columns, copies=[own[k] for k in part])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[tuple, int] = {}
+        for batch in batches:
+            for content, runs in zip(batch.column(0), batch.column(1)):
+                for key, starts in _pieces(content.as_py(), runs, length).items():
+                    own[key] = own.get(key, 0) + len(starts)
+                if len(own) >= SLICES_AT_ONCE:
+                    yield from rows(own)
+                    own = {}
+        yield from rows(own)
+
+    return held.select("content", "runs").mapInArrow(run, "id binary, anchor long, count int, offset int, bytes binary, copies long")
+
+
+def _members(held: DataFrame, length: int) -> DataFrame:
+    """Which texts have a slice, and where."""
+    schema = pa.schema([("digest", pa.binary()), ("id", pa.binary()), ("starts", pa.list_(pa.int32()))])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for digest, content, runs in zip(batch.column(0), batch.column(1), batch.column(2)):
-                text, owner, own = content.as_py(), digest.as_py(), {}
-                anchors, places = (x.to_pylist() for x in runs.values.flatten())
-                for anchor, place in zip(anchors, places):
-                    start, count, offset = place >> 16, place >> 8 & 255, place & 255
-                    piece = text[start : start + count + length - 1]
-                    own.setdefault((anchor, count, offset, piece), []).append(start)
-                rows = list(own)
-                for i in range(0, len(rows), 8192):
-                    part = rows[i : i + 8192]
-                    yield batch_of(
-                        schema, digest=[owner] * len(part),
-                        id=[hashlib.md5(b"%d %d " % (a, o) + piece).digest() for a, _, o, piece in part],
-                        starts=[own[r] for r in part], anchor=[r[0] for r in part], count=[r[1] for r in part],
-                        offset=[r[2] for r in part], bytes=[r[3] for r in part],
-                    )
-
-    return held.select("digest", "content", "runs").mapInArrow(
-        run, "digest binary, id binary, starts array<int>, anchor long, count int, offset int, bytes binary"
-    )
+                own = _pieces(content.as_py(), runs, length)
+                yield batch_of(schema, digest=[digest.as_py()] * len(own), id=[k[0] for k in own], starts=list(own.values()))
+
+    return held.select("digest", "content", "runs").mapInArrow(run, "digest binary, id binary, starts array<int>")
 
 
 def _words_at(buf: np.ndarray) -> np.ndarray:
@@ -176,10 +198,11 @@ def repeated(buf: np.ndarray, place: np.ndarray, group: np.ndarray, length: int,
     return result
 
 
-def _sorted_slices(distinct: DataFrame, length: int) -> DataFrame:
+def _sorted_slices(slices: DataFrame, length: int) -> DataFrame:
     """For each different slice the bits of its starts whose strings also start elsewhere.
 
-    Slices arrive sorted by anchor; whole anchors are sorted together, about SUFFIXES_AT_ONCE suffixes at a time.
+    Slices arrive sorted by anchor, equal ones from several tasks next to each other. Whole anchors are sorted together, about
+    SUFFIXES_AT_ONCE suffixes at a time.
     """
     schema = pa.schema([("id", pa.binary()), ("repeats", pa.binary())])
 
@@ -203,6 +226,9 @@ def _sorted_slices(distinct: DataFrame, length: int) -> DataFrame:
         held, weight = [], 0
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if held and row[0] == held[-1][0]:
+                    held[-1] = (*row[:5], row[5] + held[-1][5])
+                    continue
                 if weight >= SUFFIXES_AT_ONCE and row[1] != held[-1][1]:
                     yield sort(held)
                     held, weight = [], 0
@@ -212,8 +238,8 @@ def _sorted_slices(distinct: DataFrame, length: int) -> DataFrame:
             yield sort(held)
 
     return (
-        distinct.select("id", "anchor", "count", "offset", "bytes", "copies").repartition("anchor")
-        .sortWithinPartitions("anchor").mapInArrow(run, "id binary, repeats binary")
+        slices.select("id", "anchor", "count", "offset", "bytes", "copies").repartition("anchor")
+        .sortWithinPartitions("anchor", "id").mapInArrow(run, "id binary, repeats binary")
     )
 
 
@@ -298,18 +324,14 @@ def cuts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT
     text = texts.select("digest", "content")
     held = text.join(lists.hint("merge"), "digest").groupBy("digest").agg(F.first("content").alias("content"), F.first("runs").alias("runs"))
     slices = _slices(held, length)
-    distinct = (
-        slices.withColumn("copies", F.size("starts").cast("long")).groupBy("id", "anchor", "count", "offset", "bytes")
-        .agg(F.sum("copies").alias("copies"))
-    )
     wide = often.where(F.col("places") > hot).select("anchor")
     if wide.isEmpty():
-        repeats = _sorted_slices(distinct, length)
+        repeats = _sorted_slices(slices, length)
     else:
-        repeats = _sorted_slices(distinct.join(wide, "anchor", "left_anti"), length).unionByName(
-            _hot_slices(distinct.join(wide, "anchor", "left_semi"), length))
+        repeats = _sorted_slices(slices.join(wide, "anchor", "left_anti"), length).unionByName(
+            _hot_slices(slices.join(wide, "anchor", "left_semi"), length))
     found = (
-        slices.select("digest", "id", "starts").join(repeats.hint("merge"), "id")
+        _members(held, length).join(repeats.hint("merge"), "id")
         .groupBy("digest").agg(F.collect_list(F.struct("starts", "repeats")).alias("found"))
     )
     return _cut(text.join(found.hint("merge"), "digest").groupBy("digest").agg(
