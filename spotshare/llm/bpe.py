@@ -9,18 +9,20 @@ left for good at most once, so a piece costs linear time, and the result is that
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
 _PAIRS = 1 << 18
-_PIECES = 100_000  # of each of two generations
-_WORDS = 120_000  # likewise
+_PIECES = 200_000  # of each of two generations
+_WORDS = 200_000  # likewise
 _LONGEST_REMEMBERED = 64
 _FLUSH_IDS = 1 << 20
 
@@ -42,7 +44,7 @@ class Memory:
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
 
-    def put(self, key: str, value: tuple[int, ...]) -> None:
+    def put(self, key: str, value: bytes) -> None:
         if len(key) <= _LONGEST_REMEMBERED:
             if len(self.young) >= self.size:
                 self.old, self.young = self.young, {}
@@ -58,7 +60,6 @@ class Encoder:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.sizes = list(map(len, self.tokens))
-        self.automaton = ahocorasick.Automaton()
         self.shorter: list[int] = [-1] * len(self.tokens)  # the longest token that is a shorter prefix
         self.halves: dict[int, tuple[int, int]] = {}
         self.joined: dict[tuple[int, int], int] = {}
@@ -73,9 +74,7 @@ class Encoder:
         The tokens before it encode its bytes; if that gives other than two tokens, merging never makes it: it is only
         the answer for a piece that equals it, and no key of the automaton.
         """
-        for token in self.ranks:
-            self.automaton.add_word(token.decode("latin-1"), (self.ranks[token], len(token)))
-        self.automaton.make_automaton()
+        self._build(self.ranks)
         for token in sorted(self.ranks, key=len):
             self.shorter[self.ranks[token]] = next(
                 (self.ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in self.ranks), -1
@@ -92,16 +91,20 @@ class Encoder:
             else:
                 unmade.add(rank)
         if unmade:
-            made = {t: r for t, r in self.ranks.items() if r not in unmade}
-            self.automaton = ahocorasick.Automaton()
-            for token, rank in made.items():
-                self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
-            self.automaton.make_automaton()
+            self._build({t: r for t, r in self.ranks.items() if r not in unmade})
             for rank, shorter in enumerate(self.shorter):
                 while shorter in unmade:
                     shorter = self.shorter[shorter]
                 self.shorter[rank] = shorter
 
+    def _build(self, ranks: dict[bytes, int]) -> None:
+        self.by_text = {token.decode("latin-1"): rank for token, rank in ranks.items()}
+        self.longest_size = max(map(len, ranks))
+        self.automaton = ahocorasick.Automaton()
+        for token, rank in self.by_text.items():
+            self.automaton.add_word(token, rank)
+        self.automaton.make_automaton()
+
     def _fit(self, left: int, right: int) -> bool:
         """Whether merging the bytes of the two tokens by rank gives just these two.
 
@@ -132,17 +135,25 @@ class Encoder:
         self.fits[left << 32 | right] = result
         return result
 
+    def _longest(self, text: str, at: int) -> int:
+        """The longest token that starts at a place of a Latin-1 text."""
+        size = self.automaton.longest_prefix(text[at : at + self.longest_size])  # of a path of the trie: a token may end before
+        rank = self.by_text.get(text[at : at + size])
+        while rank is None:
+            size -= 1
+            if not size:
+                raise ValueError("the vocabulary lacks a byte")
+            rank = self.by_text.get(text[at : at + size])
+        return rank
+
     def _search(self, piece: bytes, below: int = 1 << 32, unmade: set[int] = frozenset()) -> list[int]:
         """The tokens of a piece, of ranks under ``below`` that merging can make."""
         n = len(piece)
-        longest = [-1] * n
-        for end, (rank, size) in self.automaton.iter(piece.decode("latin-1")):
-            if rank < below:
-                longest[end + 1 - size] = rank  # by rising end, so the longest stays
+        text = piece.decode("latin-1")
         shorter, sizes, fits = self.shorter, self.sizes, self.fits
         dead = bytearray(n + 1)
         taken: list[int] = []
-        at, last, rank = 0, -1, longest[0]
+        at, last, rank = 0, -1, self._longest(text, 0)
         while True:
             while rank >= 0:
                 end = at + sizes[rank]
@@ -157,35 +168,44 @@ class Encoder:
                 taken.append(rank)
                 if end == n:
                     return taken
-                at, last, rank = end, rank, longest[end]
+                at, last, rank = end, rank, self._longest(text, end)
             elif taken:
                 dead[at] = 1
                 at -= sizes[taken.pop()]
                 rank, last = shorter[last], taken[-1] if taken else -1
             else:
-                raise ValueError("the vocabulary lacks a byte")
+                raise ValueError("no tokens make this piece")
 
-    def piece(self, text: str) -> tuple[int, ...]:
+    def piece(self, text: str) -> bytes:
+        """The ids of a piece, four bytes each."""
         ids = self.pieces.old.get(text)
         if ids is None:
             raw = text.encode()
             whole = self.ranks.get(raw)
-            ids = (whole,) if whole is not None else tuple(self._search(raw))
+            ids = array("i", (whole,) if whole is not None else self._search(raw)).tobytes()
         self.pieces.put(text, ids)
         return ids
 
-    def matches(self, text: str) -> list[int]:
+    def matches(self, text: str) -> bytes:
         """The ids of all matches of the pattern in a text."""
-        ids: list[int] = []
-        for part in self.pattern.findall(text):
-            ids.extend(self.pieces.young.get(part) or self.piece(part))
-        return ids
-
-    def encode(self, text: str) -> list[int]:
+        known = self.pieces.young.get
+        return b"".join([known(part) or self.piece(part) for part in self.pattern.findall(text)])
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word with a space before it; of letters, or these and one mark, the pattern needn't be asked."""
+        if word.isalpha():
+            return self.pieces.young.get(" " + word) or self.piece(" " + word)
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            left, right = " " + word[:-1], word[-1]
+            return (self.pieces.young.get(left) or self.piece(left)) + (self.pieces.young.get(right) or self.piece(right))
+        return self.matches(" " + word)
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a text, four bytes each in the machine's order."""
         if not self.by_words:
             return self.matches(text)
         words = text.split(" ")
-        ids, loose = [], [words[0]]  # loose: what doesn't stand alone yet
+        parts, loose = [], [words[0]]  # loose: what doesn't stand alone yet
         for word in words[1:]:
             known = self.words.young.get(word)
             if known is None:
@@ -196,18 +216,30 @@ class Encoder:
                     continue
                 known = self.words.old.get(word)
                 if known is None:
-                    known = tuple(self.matches(" " + word))
+                    known = self._word(word)
                 self.words.put(word, known)
             if loose:
-                ids.extend(self.matches(" ".join(loose)))
+                parts.append(self.matches(" ".join(loose)))
                 loose = []
-            ids.extend(known)
-            # a space after this word is the next word's, or starts what is loose
-        ids.extend(self.matches(" ".join(loose)))
-        return ids
+            parts.append(known)
+        parts.append(self.matches(" ".join(loose)))
+        return b"".join(parts)
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.packed(text)).tolist()
+
+    def spell(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all tokens in a row, and where each token's end."""
+        if not hasattr(self, "_spelling"):
+            size = np.array(self.sizes, dtype=np.int64)
+            self._spelling = np.frombuffer(b"".join(self.tokens), dtype=np.uint8), np.cumsum(size) - size, size
+        letters, first, size = self._spelling
+        size = size[ids]
+        ends = np.cumsum(size)
+        return letters[np.repeat(first[ids] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], ends
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        return self.spell(np.array(ids, dtype=np.int64))[0].tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -216,26 +248,20 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
 
 
-def _mapped(df: DataFrame, source: str, kind, make, weigh) -> DataFrame:
-    """All columns of ``df`` and one more, made from column ``source``; output batches are bounded by what is made."""
-    target, spark_type, arrow_type = kind
-    schema = StructType([f for f in df.schema.fields if f.name.lower() != target] + [StructField(target, spark_type)])
-    keep = [f.name for f in schema.fields[:-1]]
-    at = df.columns.index(source)
+def _mapped(df: DataFrame, source: str, target: str, kind: DataType, make: Callable[[pa.Array], Iterator[pa.Array]]) -> DataFrame:
+    """All columns of ``df`` and ``target``, which ``make`` gives for column ``source`` in parts of bounded size."""
+    keep = [n for n in df.columns if n.lower() != target]
+    schema = StructType([*(df.schema[n] for n in keep), StructField(target, kind)])
+    place = {n: i for i, n in enumerate(df.columns)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = pa.RecordBatch.from_arrays([batch.column(df_at[n]) for n in keep], names=keep)
-            first, held, size = 0, [], 0
-            for i, value in enumerate(batch.column(at)):
-                held.append(make(value))
-                size += weigh(held[-1])
-                if size >= _FLUSH_IDS or i == batch.num_rows - 1:
-                    part = kept.slice(first, len(held))
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(held, arrow_type)], names=[*keep, target])
-                    first, held, size = i + 1, [], 0
-
-    df_at = {n: i for i, n in enumerate(df.columns)}
+            first = 0
+            for part in make(batch.column(place[source])):
+                kept = [batch.column(place[n]).slice(first, len(part)) for n in keep]
+                yield pa.RecordBatch.from_arrays([*kept, part], names=[*keep, target])
+                first += len(part)
+
     return df.mapInArrow(run, schema)
 
 
@@ -245,18 +271,41 @@ def encode(docs: DataFrame, path: str, pattern: str, column: str = "text") -> Da
     A NULL or empty text has no ids; whole texts are encoded however long; repeated rows stay rows. A column named ids is
     replaced, all others stay as they are.
     """
-    def make(value) -> list[int]:
-        return encoder(path, pattern).encode(value.as_py() or "")
+    def lists(parts: list[bytes]) -> pa.Array:
+        ends = np.cumsum([0, *map(len, parts)]) // 4
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), dtype=np.int32)))
 
-    return _mapped(docs, column, ("ids", ArrayType(IntegerType()), pa.list_(pa.int32())), make, len)
+    def make(texts: pa.Array) -> Iterator[pa.Array]:
+        packed = encoder(path, pattern).packed
+        held, size = [], 0
+        for value in texts:
+            held.append(packed(value.as_py() or ""))
+            size += len(held[-1])
+            if size >= 4 * _FLUSH_IDS:
+                yield lists(held)
+                held, size = [], 0
+        if held:
+            yield lists(held)
+
+    return _mapped(docs, column, "ids", ArrayType(IntegerType()), make)
 
 
 def decode(df: DataFrame, path: str, pattern: str, column: str = "ids") -> DataFrame:
     """``df`` with ``decoded``, the bytes of the tokens in ``column``; NULL or no ids give no bytes, an unknown id raises."""
-    def make(value) -> bytes:
-        return encoder(path, pattern).decode(value.as_py() or [])
-
-    return _mapped(df, column, ("decoded", BinaryType(), pa.binary()), make, len)
+    def make(lists: pa.Array) -> Iterator[pa.Array]:
+        spell = encoder(path, pattern).spell
+        held, size = [], 0
+        for value in lists:
+            ids = value.values.to_numpy() if value.is_valid else np.zeros(0, dtype=np.int32)
+            held.append(spell(ids)[0].tobytes())
+            size += len(held[-1])
+            if size >= 4 * _FLUSH_IDS:
+                yield pa.array(held, pa.binary())
+                held, size = [], 0
+        if held:
+            yield pa.array(held, pa.binary())
+
+    return _mapped(df, column, "decoded", BinaryType(), make)
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

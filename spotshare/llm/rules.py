@@ -89,14 +89,14 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def order_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE) -> list[Rule]:
-    """``rules`` by falling rejection per cost, as measured on about ``sample`` rows of ``docs`` (columns of ``measured`` included).
+    """``rules`` by falling rejection per cost, as measured on about ``sample`` rows of ``docs``.
 
     A rule that rejects nothing comes last, the cheapest first; an empty table keeps the order given.
     """
     total = docs.count()
     if not total:
         return list(rules)
-    part = write_stage(docs.sample(min(1.0, sample / total), seed=3), "rules")
+    part = write_stage(measured(docs.sample(min(1.0, sample / total), seed=3)), "rules")
     rates = part.agg(*(F.avg(F.coalesce(F.expr(r.rejects), F.lit(False)).cast("int")).alias(f"r{i}") for i, r in enumerate(rules))).first()
     value = []
     for i, rule in enumerate(rules):
@@ -122,8 +122,8 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE
     Every row gets a verdict. A NULL or empty text has no words and fails the base rules. Columns of these names are replaced.
     """
     base = F.expr(" OR ".join(f"({r.rejects})" for r in BASE))
-    rows = measured(docs.drop("base_failed", "failed_rule", "kept"))
-    order = order_rules(rows, rules, sample)
-    rows = rows.withColumn("base_failed", base)
+    docs = docs.drop("base_failed", "failed_rule", "kept")
+    order = order_rules(docs, rules, sample)
+    rows = measured(docs).withColumn("base_failed", base)
     rows = rows.withColumn("failed_rule", F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(rows, order)))
     return rows.withColumn("kept", F.col("failed_rule").isNull())
