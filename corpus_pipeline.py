@@ -57,7 +57,7 @@ def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every row, with their number and whether they decode to the text's bytes."""
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, pattern), path, pattern)
+    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, pattern), path)
     return coded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))

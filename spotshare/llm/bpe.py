@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
 _PAIRS = 1 << 18
-_PIECES = 200_000  # of each of two generations
-_WORDS = 200_000  # likewise
+_PIECES = 100_000  # of each of two generations
+_WORDS = 100_000  # likewise
 _LONGEST_REMEMBERED = 64
 _FLUSH_IDS = 1 << 20
 
@@ -228,18 +228,22 @@ class Encoder:
     def encode(self, text: str) -> list[int]:
         return array("i", self.packed(text)).tolist()
 
-    def spell(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes of all tokens in a row, and where each token's end."""
-        if not hasattr(self, "_spelling"):
-            size = np.array(self.sizes, dtype=np.int64)
-            self._spelling = np.frombuffer(b"".join(self.tokens), dtype=np.uint8), np.cumsum(size) - size, size
-        letters, first, size = self._spelling
-        size = size[ids]
-        ends = np.cumsum(size)
-        return letters[np.repeat(first[ids] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], ends
 
-    def decode(self, ids: list[int]) -> bytes:
-        return self.spell(np.array(ids, dtype=np.int64))[0].tobytes()
+class Speller:
+    """The bytes of tokens, for decoding: far smaller than an encoder."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.size = np.array(list(map(len, tokens)), dtype=np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.letters = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        return self.letters[np.repeat(self.first[ids] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -248,6 +252,11 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
 
 
+@lru_cache(maxsize=1)
+def speller(path: str) -> Speller:
+    return Speller(read_ranks(path))
+
+
 def _mapped(df: DataFrame, source: str, target: str, kind: DataType, make: Callable[[pa.Array], Iterator[pa.Array]]) -> DataFrame:
     """All columns of ``df`` and ``target``, which ``make`` gives for column ``source`` in parts of bounded size."""
     keep = [n for n in df.columns if n.lower() != target]
@@ -290,14 +299,14 @@ def encode(docs: DataFrame, path: str, pattern: str, column: str = "text") -> Da
     return _mapped(docs, column, "ids", ArrayType(IntegerType()), make)
 
 
-def decode(df: DataFrame, path: str, pattern: str, column: str = "ids") -> DataFrame:
+def decode(df: DataFrame, path: str, column: str = "ids") -> DataFrame:
     """``df`` with ``decoded``, the bytes of the tokens in ``column``; NULL or no ids give no bytes, an unknown id raises."""
     def make(lists: pa.Array) -> Iterator[pa.Array]:
-        spell = encoder(path, pattern).spell
+        spell = speller(path).decode
         held, size = [], 0
         for value in lists:
             ids = value.values.to_numpy() if value.is_valid else np.zeros(0, dtype=np.int32)
-            held.append(spell(ids)[0].tobytes())
+            held.append(spell(ids))
             size += len(held[-1])
             if size >= 4 * _FLUSH_IDS:
                 yield pa.array(held, pa.binary())
@@ -310,7 +319,7 @@ def decode(df: DataFrame, path: str, pattern: str, column: str = "ids") -> DataF
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row for each document: its number of ids, a digest of them, and of the bytes that they decode to."""
-    done = decode(encode(docs.select("doc_id", "text"), path, pattern).drop("text"), path, pattern)
+    done = decode(encode(docs.select("doc_id", "text"), path, pattern).drop("text"), path)
     return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spotshare.llm.common import batch_of, encoded
 from spotshare.llm.components import components
-from spotshare.plans.staging import write_stage
+from spotshare.plans.staging import join_side, write_stage
 
 BLOCK = 2048  # fingerprints in a block of a tile
 BINS = 64  # bytes of a sketch
@@ -152,9 +152,13 @@ def near_links(prints: DataFrame, radius: int = 3, parts: int = 4, agreement: fl
         .where("tile_a <> tile OR block_a <= block_b")
         .select("tile_a", "block_a", F.col("tile").alias("tile_b"), "block_b")
     )
+    # pairs are few and costly: they are dealt one by one, to as many tasks at any size; the blocks come to them by broadcast
+    # within a measured bound, else by shuffles
+    tasks = 2 * int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(tasks, "tile_a", "block_a", "tile_b", "block_b")
     side = packed.select("tile", "block", "prints")
-    pairs = pairs.join(side.toDF("tile_a", "block_a", "prints_a"), ["tile_a", "block_a"])
-    pairs = pairs.join(side.toDF("tile_b", "block_b", "prints_b"), ["tile_b", "block_b"])
+    pairs = pairs.join(join_side(side.toDF("tile_a", "block_a", "prints_a")), ["tile_a", "block_a"])
+    pairs = pairs.join(join_side(side.toDF("tile_b", "block_b", "prints_b")), ["tile_b", "block_b"])
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def arrays(value: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
