@@ -30,8 +30,8 @@ def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     a group without ids likewise.
     """
     classes = simhash.near_copies(docs)
-    firsts = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
+    firsts = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first")).distinct()
+    kept = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
     return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
 
 
@@ -40,13 +40,13 @@ def repeat_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Bytes of a character that was cut in two go with it. NULL texts stay NULL.
     """
-    done = suffixes.remove_repeats(docs)
+    done = suffixes.remove_repeats(docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")))
     changed = F.size("spans") > 0
     left = F.col("kept").cast("string")
     left = F.when(F.is_valid_utf8(left), left).otherwise(F.regexp_replace(F.make_valid_utf8(left), "\ufffd", ""))
-    text = F.when(changed, left).otherwise(F.col("text"))
-    return done.withColumn("text", text).withColumn(
-        "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    done = done.withColumn("text", F.when(changed, left).otherwise(F.col("text")))
+    length = F.when(changed, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))
+    return done.select(*({"text": F.col("text"), "n_chars": length.alias("n_chars")}.get(c, F.col(f"row.`{c}`")) for c in docs.columns))
 
 
 def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every row, with their number and whether they decode to the text's bytes."""
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, pattern), path)
+    coded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path, pattern)
     return coded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))

@@ -20,9 +20,9 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
-_PAIRS = 1 << 18
-_PIECES = 100_000  # of each of two generations
-_WORDS = 100_000  # likewise
+_PAIRS = 1 << 17
+_PIECES = 80_000  # of each of two generations
+_WORDS = 80_000  # likewise
 _LONGEST_REMEMBERED = 64
 _FLUSH_IDS = 1 << 20
 
@@ -257,69 +257,79 @@ def speller(path: str) -> Speller:
     return Speller(read_ranks(path))
 
 
-def _mapped(df: DataFrame, source: str, target: str, kind: DataType, make: Callable[[pa.Array], Iterator[pa.Array]]) -> DataFrame:
-    """All columns of ``df`` and ``target``, which ``make`` gives for column ``source`` in parts of bounded size."""
-    keep = [n for n in df.columns if n.lower() != target]
-    schema = StructType([*(df.schema[n] for n in keep), StructField(target, kind)])
+def _mapped(df: DataFrame, source: str, made: dict[str, DataType], make: Callable[[pa.Array], Iterator[tuple[pa.Array, ...]]]) -> DataFrame:
+    """All columns of ``df`` and those of ``made``, which ``make`` gives for column ``source`` in parts of bounded size."""
+    keep = [n for n in df.columns if n.lower() not in made]
+    schema = StructType([*(df.schema[n] for n in keep), *(StructField(n, kind) for n, kind in made.items())])
     place = {n: i for i, n in enumerate(df.columns)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first = 0
-            for part in make(batch.column(place[source])):
-                kept = [batch.column(place[n]).slice(first, len(part)) for n in keep]
-                yield pa.RecordBatch.from_arrays([*kept, part], names=[*keep, target])
-                first += len(part)
+            for parts in make(batch.column(place[source])):
+                kept = [batch.column(place[n]).slice(first, len(parts[0])) for n in keep]
+                yield pa.RecordBatch.from_arrays([*kept, *parts], names=[*keep, *made])
+                first += len(parts[0])
 
     return df.mapInArrow(run, schema)
 
 
+def _lists(parts: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), dtype=np.int32)))
+
+
+def _flushed(values: Iterator[bytes]) -> Iterator[list[bytes]]:
+    """The values in lists of bounded size."""
+    held, size = [], 0
+    for value in values:
+        held.append(value)
+        size += len(value)
+        if size >= 4 * _FLUSH_IDS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def encode(docs: DataFrame, path: str, pattern: str, column: str = "text") -> DataFrame:
     """``docs`` with ``ids``, the tokens of ``column``: what merging by rank gives for each match of ``pattern``.
 
     A NULL or empty text has no ids; whole texts are encoded however long; repeated rows stay rows. A column named ids is
     replaced, all others stay as they are.
     """
-    def lists(parts: list[bytes]) -> pa.Array:
-        ends = np.cumsum([0, *map(len, parts)]) // 4
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(parts), dtype=np.int32)))
-
-    def make(texts: pa.Array) -> Iterator[pa.Array]:
+    def make(texts: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
         packed = encoder(path, pattern).packed
-        held, size = [], 0
-        for value in texts:
-            held.append(packed(value.as_py() or ""))
-            size += len(held[-1])
-            if size >= 4 * _FLUSH_IDS:
-                yield lists(held)
-                held, size = [], 0
-        if held:
-            yield lists(held)
+        for part in _flushed(packed(value.as_py() or "") for value in texts):
+            yield (_lists(part),)
 
-    return _mapped(docs, column, "ids", ArrayType(IntegerType()), make)
+    return _mapped(docs, column, {"ids": ArrayType(IntegerType())}, make)
 
 
 def decode(df: DataFrame, path: str, column: str = "ids") -> DataFrame:
     """``df`` with ``decoded``, the bytes of the tokens in ``column``; NULL or no ids give no bytes, an unknown id raises."""
-    def make(lists: pa.Array) -> Iterator[pa.Array]:
+    def make(lists: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
         spell = speller(path).decode
-        held, size = [], 0
-        for value in lists:
-            ids = value.values.to_numpy() if value.is_valid else np.zeros(0, dtype=np.int32)
-            held.append(spell(ids))
-            size += len(held[-1])
-            if size >= 4 * _FLUSH_IDS:
-                yield pa.array(held, pa.binary())
-                held, size = [], 0
-        if held:
-            yield pa.array(held, pa.binary())
+        none = np.zeros(0, dtype=np.int32)
+        for part in _flushed(spell(value.values.to_numpy() if value.is_valid else none) for value in lists):
+            yield (pa.array(part, pa.binary()),)
+
+    return _mapped(df, column, {"decoded": BinaryType()}, make)
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, column: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` one after the other in one pass: ``docs`` with ``ids`` and ``decoded``, the bytes of these ids."""
+    def make(texts: pa.Array) -> Iterator[tuple[pa.Array, ...]]:
+        packed, spell = encoder(path, pattern).packed, speller(path).decode
+        for part in _flushed(packed(value.as_py() or "") for value in texts):
+            yield _lists(part), pa.array([spell(np.frombuffer(ids, dtype=np.int32)) for ids in part], pa.binary())
 
-    return _mapped(df, column, "decoded", BinaryType(), make)
+    return _mapped(docs, column, {"ids": ArrayType(IntegerType()), "decoded": BinaryType()}, make)
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row for each document: its number of ids, a digest of them, and of the bytes that they decode to."""
-    done = decode(encode(docs.select("doc_id", "text"), path, pattern).drop("text"), path)
+    done = round_trip(docs.select("doc_id", "text"), path, pattern)
     return done.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

@@ -341,13 +341,16 @@ def cuts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``docs`` with the columns ``kept`` (the bytes left), ``spans`` and ``n_bytes`` added; see ``cuts`` for what goes.
 
-    A text with copies loses all its bytes if it is long enough, as each of them is a place elsewhere.
+    A text with copies loses all its bytes if it is long enough, as each of them is a place elsewhere. Columns of these names
+    are replaced.
     """
     content = content_of()
-    marked = docs.withColumn("digest", digest_of(content)).withColumn("n_bytes", F.octet_length(content).cast("long"))
-    done = marked.join(_results(docs, length, gram, hot), "digest", "left").drop("digest")
-    return done.withColumn("kept", F.coalesce("kept", content_of())).withColumn(
-        "spans", F.coalesce("spans", F.array().cast("array<array<int>>")))
+    own = [f"`{c}`" for c in docs.columns if c.lower() not in ("kept", "spans", "n_bytes")]
+    marked = docs.select(*own, digest_of(content).alias("__digest"), F.octet_length(content).cast("long").alias("n_bytes"))
+    changed = _results(docs, length, gram, hot).withColumnRenamed("digest", "__digest")
+    done = marked.join(changed, "__digest", "left")
+    return done.select(*own, "n_bytes", F.coalesce("kept", content_of()).alias("kept"),
+                       F.coalesce("spans", F.array().cast("array<array<int>>")).alias("spans"))
 
 
 def _results(docs: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
