@@ -9,16 +9,12 @@ days, blocks are pre-aggregated, and a segment start looks up one block of each
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from spotshare import model
 from spotshare.functions.temporal import moment
 from spotshare.plans.staging import join_side
 
 VALIDITY = ("fecha_ini", "fecha_fin")
-CALENDAR = (model.FIRST_DAY, model.LAST_DAY)
 # Segments are cut at multiples of this many days, a power of two. It bounds the segments a fact row probes and adds a time component
 # to the join key, which spreads a hot key over partitions.
 BUCKET_DAYS = 512
@@ -37,10 +33,14 @@ def _winner(order: Sequence[str], values: Mapping[str, Column]) -> Column:
     return F.struct(ranked.alias("o"), kept.alias("v"))
 
 
-def _days(calendar: tuple[str, str]) -> tuple[int, int]:
-    origin = (date.fromisoformat(calendar[0]) - date(1970, 1, 1)).days
-    final = (date.fromisoformat(calendar[1]) - date(1970, 1, 1)).days
-    return origin, final - origin
+def _days(dim: DataFrame, valid: tuple[str, str]) -> tuple[int, int]:
+    """The first day on which a row of ``dim`` can hold, as days since 1970, and how many follow up to the last one."""
+    ends = dim.agg(
+        F.min(F.unix_date(F.to_date(_bound(dim, valid[0])))).alias("first"), F.max(F.unix_date(F.to_date(_bound(dim, valid[1])))).alias("last")
+    ).first()
+    if ends["first"] is None:
+        return 0, 0
+    return ends["first"], max(0, ends["last"] - ends["first"])
 
 
 def _bound(dim: DataFrame, name: str) -> Column:
@@ -54,10 +54,9 @@ def resolve(
     values: Mapping[str, Column],
     order_by: Sequence[str] | None = None,
     valid: tuple[str, str] = VALIDITY,
-    calendar: tuple[str, str] = CALENDAR,
 ) -> DataFrame:
     """Disjoint segments ``keys, __bucket, __first, __until, __w``; ``__w.v`` holds the values of the last valid row."""
-    origin, last = _days(calendar)
+    origin, last = _days(dim, valid)
     names = list(keys)
     start, end = _bound(dim, valid[0]), _bound(dim, valid[1])
     whole_day = end == F.date_trunc("day", end)
@@ -95,6 +94,7 @@ def resolve(
         .groupBy(*names, "first", "until")
         .agg(F.max("w").alias("w"))
     )
+    segments = segments.withColumns({"first": F.col("first") + origin, "until": F.col("until") + origin})
     bucket = F.sequence(_bucket(F.col("first")), _bucket(F.col("until") - 1))
     return segments.select(
         *names, F.explode(bucket).alias("__bucket"),
@@ -122,16 +122,15 @@ def last_match(
     day: str | None = "fecha_dia",
     order_by: Sequence[str] | None = None,
     valid: tuple[str, str] = VALIDITY,
-    calendar: tuple[str, str] = CALENDAR,
 ) -> DataFrame:
     """Add struct ``out`` (``o`` order, ``v`` values) of the last row that matches the fact row, NULL without one.
 
     ``on`` maps fact columns to dimension columns. With ``day`` the row must also be valid on that day; the column is
-    a date, or midnight as timestamp or epoch seconds. NULL keys and NULL days match nothing.
+    a date, or midnight as timestamp or epoch seconds. NULL keys, NULL days and days without a row match nothing.
     """
     keys = {f"__k{i}": F.col(name) for i, name in enumerate(on.values())}
     if day is not None:
-        return attach(fact, join_side(resolve(dim, keys, values, order_by, valid, calendar)), list(on), out, day, calendar)
+        return attach(fact, join_side(resolve(dim, keys, values, order_by, valid)), list(on), out, day)
     rows = dim.select(
         *[key.alias(name) for name, key in keys.items()], _winner(row_order(dim, order_by), values).alias(out)
     ).where(_all_known(list(keys)))
@@ -146,9 +145,7 @@ def _same(columns: Sequence[str]) -> Column:
     return test
 
 
-def attach(
-    fact: DataFrame, side: DataFrame, on: Sequence[str], out: str, day: str, calendar: tuple[str, str] = CALENDAR
-) -> DataFrame:
+def attach(fact: DataFrame, side: DataFrame, on: Sequence[str], out: str, day: str) -> DataFrame:
     """Join resolved segments, whose keys are ``__k0, __k1, ...``, to the fact columns ``on``."""
     test = (
         _same(on)
@@ -156,16 +153,15 @@ def attach(
         & (F.col("__first") <= F.col("__day"))
         & (F.col("__day") < F.col("__until"))
     )
-    dated = fact.withColumn("__day", _day_number(fact, day, calendar))
+    dated = fact.withColumn("__day", _day_number(fact, day))
     joined = dated.join(side.withColumnRenamed("__w", out), test, "left")
     return joined.drop(*[f"__k{i}" for i in range(len(on))], "__bucket", "__first", "__until", "__day")
 
 
-def _day_number(fact: DataFrame, day: str, calendar: tuple[str, str]) -> Column:
-    origin, last = _days(calendar)
-    number = F.unix_date(F.to_date(moment(fact, day))) - origin
-    outside = F.raise_error(F.lit(f"{day} is outside the lookup calendar {calendar[0]} .. {calendar[1]}"))
-    return F.when(number.isNull(), F.lit(None)).when(number.between(0, last), number).otherwise(outside).cast("int")
+def _day_number(fact: DataFrame, day: str) -> Column:
+    at = moment(fact, day)
+    timed = F.raise_error(F.lit(f"{day} must be a day, not a time of day"))
+    return F.when(at.isNull() | (at == F.date_trunc("day", at)), F.unix_date(F.to_date(at))).otherwise(timed.cast("int"))
 
 
 def last_row(dim: DataFrame, columns: Sequence[str], order_by: Sequence[str] | None = None) -> Column:

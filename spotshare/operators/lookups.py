@@ -34,7 +34,11 @@ def _check(policy: str) -> None:
 
 
 def _valid_on(fact: DataFrame, day: str, row: Column, dim: DataFrame) -> Column:
-    start, end = (row.getField(name) for name in VALIDITY)
+    def bound(name: str) -> Column:
+        missing = F.raise_error(F.lit(f"validity bound {name} must not be null")).cast(dim.schema[name].dataType)
+        return F.when(row.isNotNull(), F.coalesce(row.getField(name), missing))
+
+    start, end = (bound(name) for name in VALIDITY)
     if dict(dim.dtypes)[VALIDITY[0]] == "bigint":
         start, end = F.timestamp_seconds(start), F.timestamp_seconds(end)
     return inside(moment(fact, day), start.cast("timestamp"), end.cast("timestamp"))

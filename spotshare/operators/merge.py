@@ -17,8 +17,19 @@ def _unique(source: DataFrame, key: str) -> DataFrame:
     return source.where(F.when(most > 1, F.raise_error(message).cast("boolean")).otherwise(True))
 
 
+def _named_alike(target: DataFrame, source: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """``source`` and the key by the names of ``target``, compared as the session compares names."""
+    if target.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true":
+        return source, key
+    names = {c.lower(): c for c in target.columns}
+    if len({c.lower() for c in source.columns}) < len(source.columns):
+        raise ValueError("source columns differ only in case")
+    return source.withColumnsRenamed({c: names[c.lower()] for c in source.columns if c.lower() in names}), names.get(key.lower(), key)
+
+
 def update(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Rows of ``target``; where the key is in ``source`` its columns replace the old values, NULLs included."""
+    source, key = _named_alike(target, source, key)
     side = _unique(source, key).withColumnsRenamed({c: f"__new_{c}" for c in source.columns}).withColumn("__hit", F.lit(True))
 
     def pick(name: str) -> Column:
@@ -36,7 +47,9 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 
     A left and an anti join instead of a full outer one, because adaptive execution can split their hot partitions.
     """
-    new = source.join(target.select(key), key, "left_anti")
+    source, key = _named_alike(target, source, key)
+    # both branches are checked: with an empty target nothing is left of the update branch
+    new = _unique(source, key).join(target.select(key), key, "left_anti").select(*source.columns)
     return update(target, source, key).unionByName(new, allowMissingColumns=True)
 
 

@@ -80,7 +80,8 @@ def run(
     ``config`` names the inputs as ``db.table`` or path: ``facts``, ``campaign_targets`` and the raw entities
     ``business_lines``, ``channels``, ``rules``, ``events``, ``parameters``. The outputs are ``share_table`` at
     ``share_path`` and the typed channel dimension ``channels_table`` at ``channels_path``; ``format`` and
-    ``compression`` apply to both. ``month`` limits the facts (``yyyy-MM`` or "current"). With ``replace_partitions`` only the months that were computed are replaced.
+    ``compression`` apply to both. ``month`` limits the facts (``yyyy-MM`` or "current"). With ``month`` or
+    ``replace_partitions`` only the months that were computed are replaced.
     """
     entities = {
         "business_lines": "linea_negocio", "channels": "agrup_cadenas", "rules": "configuraciones", "events": "eventos",
@@ -106,6 +107,7 @@ def run(
         config.get("own_group", model.OWN_GROUP),
     )
     save_table(
-        share, config["share_table"], config["share_path"], partition_by="fecha_part", replace_partitions=replace_partitions, **stored
+        share, config["share_table"], config["share_path"], partition_by="fecha_part",
+        replace_partitions=replace_partitions or month is not None, **stored
     )
     return spark.table(config["share_table"])

@@ -31,9 +31,15 @@ def export_dataset(
 
 
 def export_batches(df: DataFrame, path: str, max_bytes: int = MAX_BUNDLE_BYTES, by: str | None = None) -> None:
-    """Headed CSV files of about ``max_bytes`` each, in folders ``by=<value>`` if a column is named."""
+    """Headed CSV files of about ``max_bytes`` each, in folders ``by=<value>`` if a column is named.
+
+    In folders a file is closed after as many rows as surely fit, by the longest row.
+    """
     rows = size_repartition(df, max_bytes) if by is None else df.hint("rebalance", F.col(by))
     writer = rows.write.options(
         header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     )
-    (writer if by is None else writer.partitionBy(by)).csv(path)
+    if by is not None:
+        longest = df.agg(F.max(F.octet_length(csv_row(df)))).first()[0] or 1
+        writer = writer.option("maxRecordsPerFile", max(1, max_bytes // (longest + 1))).partitionBy(by)
+    writer.csv(path)

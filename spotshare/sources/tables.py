@@ -32,17 +32,24 @@ def save_table(
 
     Partitioned writes are rebalanced by the partition column first: adaptive execution packs small partitions
     together and splits a large one, so a month gets few right-sized files whatever its share of the rows.
-    ``replace_partitions`` overwrites only the partitions present in ``df`` and keeps the others.
+    ``replace_partitions`` overwrites only the partitions present in ``df`` and keeps the others, also those of a folder that is
+    not in the catalog yet; a table that is there keeps its own location.
     """
     if partition_by is not None:
         df = df.hint("rebalance", F.col(partition_by))
     writer = df.write.format(file_format).option("compression", compression)
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
-    if replace_partitions and partition_by is not None and df.sparkSession.catalog.tableExists(table):
+    if replace_partitions and partition_by is not None:
+        spark = df.sparkSession
+        known = spark.catalog.tableExists(table)
+        if known:
+            path = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()["data_type"]
         writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").save(path)
-        df.sparkSession.catalog.recoverPartitions(table)
-        df.sparkSession.catalog.refreshTable(table)
+        if not known:
+            spark.catalog.createTable(table, path=path, source=file_format)
+        spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
         return
     writer.option("path", path).mode(mode).saveAsTable(table)
 

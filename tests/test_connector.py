@@ -42,7 +42,7 @@ def test_conform_values(spark):
 
 # -- pages, records, schemas ---------------------------------------------------------------------------------------
 
-PAGE = {"totalSize": 2, "done": False, "nextRecordsUrl": "/p/2", "records": [
+PAGE = {"totalSize": 4, "done": False, "nextRecordsUrl": "/p/2", "records": [
     {"attributes": {"type": "A"}, "Id": 1, "Name": "x", "Owner": {"attributes": {"type": "U"}, "Name": "o", "Role": {"Name": "r"}}},
     {"attributes": {"type": "A"}, "Id": 2.5, "Name": None, "Owner": None, "Extra": True}]}
 
@@ -50,7 +50,7 @@ PAGE = {"totalSize": 2, "done": False, "nextRecordsUrl": "/p/2", "records": [
 @pytest.mark.parametrize("field", [records.PLAIN, records.WRAPPED])
 def test_pages_are_flattened(spark, tmp_path, field):
     for i in range(2):
-        page = PAGE if field == records.PLAIN else {"results": {"records": PAGE["records"]}}
+        page = PAGE | {"done": i == 1} if field == records.PLAIN else {"results": {"records": PAGE["records"]}}
         (tmp_path / f"{i}.json").write_text(json.dumps(page, indent=1))
     flat = records.flatten(records.read_pages(spark, str(tmp_path), field, multi_line=True))
     assert sorted(flat.columns) == ["Extra", "Id", "Name", "Owner.Name", "Owner.Role.Name"]
@@ -58,6 +58,17 @@ def test_pages_are_flattened(spark, tmp_path, field):
     assert sorted(rows, key=str) == sorted([("1", "x", "o", "r", None), ("2.5", None, None, None, "true")] * 2, key=str)
 
 
+@pytest.mark.parametrize("broken", ["short", "unfinished", "truncated"])
+def test_lost_pages_fail(spark, tmp_path, broken):
+    pages = [PAGE, PAGE | {"done": broken != "unfinished", "records": PAGE["records"][: 1 if broken == "short" else 2]}]
+    for i, page in enumerate(pages):
+        text = json.dumps(page)
+        (tmp_path / f"{i}.json").write_text(text[:-40] if broken == "truncated" and i else text)
+    schema = T.StructType.fromDDL("totalSize STRING, done STRING, records ARRAY<STRUCT<Id: STRING>>")
+    with pytest.raises(Exception, match="incomplete|[Mm]alformed|MALFORMED|FAILED_READ"):
+        records.read_pages(spark, str(tmp_path), schema=schema).collect()
+
+
 def test_inferred_types(spark):
     df = texts(
         spark, i=["1", "-2", "", None], l=["1", "3000000000", "", ""], d=["1", "2.5", "1e3", ""], wide=["1", "99999999999999999999", "", ""],
@@ -102,6 +113,40 @@ def test_csv_batches(spark, tmp_path):
     assert sorted(tuple(r) for r in out) == [(1, 'a "q", b c'), (2, " pad "), (3, "r s")]
     inferred = records.read_csv_batches(spark, path, states, infer=True)
     assert dict(inferred.dtypes)["id"] == "int"
+    # an unfinished batch is not opened at all; another order of columns and a broken row of a finished one fail
+    (tmp_path / "b" / "batch_id=3" / "bad.csv").write_text('"id\n"""')
+    assert records.read_csv_batches(spark, path, states, schema).count() == 3
+    assert records.read_csv_batches(spark, path, states.where("false"), schema).count() == 0
+    (tmp_path / "b" / "batch_id=2" / "swapped.csv").write_text("v,id\nx,9\n")
+    with pytest.raises(Exception):
+        records.read_csv_batches(spark, path, states, schema).collect()
+
+
+def test_upsert_checks_keys_and_names(spark):
+    target = spark.createDataFrame([("a", 1)], "k STRING, v INT")
+    twice = spark.createDataFrame([("x", 1), ("x", 2)], "k STRING, v INT")
+    for empty in (target.where("1=0"), spark.createDataFrame([], target.schema)):
+        with pytest.raises(Exception, match="not unique"):
+            merge.upsert(empty, twice, "k").collect()
+    source = spark.createDataFrame([("a", 5), ("b", 6)], "K STRING, V INT")
+    out = merge.upsert(target, source, "K")
+    assert out.columns == ["k", "v"] and sorted(map(tuple, out.collect())) == [("a", 5), ("b", 6)]
+
+
+def test_month_is_replaced_without_a_catalog_entry(spark, tmp_path):
+    path = str(tmp_path / "share")
+    spark.createDataFrame([(1, "2019-01"), (2, "2019-02")], "v INT, fecha_part STRING").write.partitionBy("fecha_part").parquet(path)
+    tables.save_table(spark.createDataFrame([(9, "2019-02")], "v INT, fecha_part STRING"), "loose_share", path, partition_by="fecha_part", replace_partitions=True)
+    assert sorted(map(tuple, spark.table("loose_share").collect())) == [(1, "2019-01"), (9, "2019-02")]
+    tables.save_table(spark.createDataFrame([(7, "2019-01")], "v INT, fecha_part STRING"), "loose_share", str(tmp_path / "other"), partition_by="fecha_part", replace_partitions=True)
+    assert sorted(map(tuple, spark.table("loose_share").collect())) == [(7, "2019-01"), (9, "2019-02")]
+
+
+def test_batch_files_keep_the_bound_in_folders(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("id", "id % 2 AS part", "repeat('x', 20) AS v")
+    export.export_batches(rows, str(tmp_path / "bound"), max_bytes=4000, by="part")
+    sizes = [f.stat().st_size for f in (tmp_path / "bound").rglob("*.csv")]
+    assert max(sizes) <= 4000 + 20 and len(sizes) > 4
 
 
 # -- paging --------------------------------------------------------------------------------------------------------
@@ -239,7 +284,7 @@ def test_options():
 def test_connector(spark, tmp_path):
     pages = tmp_path / "pages"
     pages.mkdir()
-    (pages / "0.json").write_text(json.dumps(PAGE))
+    (pages / "0.json").write_text(json.dumps(PAGE | {"totalSize": 2, "done": True}))
     base = {"recordPages": str(pages)}
     assert dict(connector.load(spark, base).dtypes)["Id"] == "string"
     assert dict(connector.load(spark, base | {"inferSchema": "true"}).dtypes)["Id"] == "double"
@@ -270,16 +315,13 @@ def test_broadcast_needs_a_proven_size(spark):
 
 
 class _Session:
-    """Settings of a session on some master."""
+    """Settings of a session."""
 
-    def __init__(self, master, folder=None):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
-        self.sparkContext = type("Context", (), {"master": master, "applicationId": master + "-app"})
+    def __init__(self, **conf):
+        self.conf = {k.replace("_", "."): v for k, v in conf.items()}
 
 
 def test_shared_folder():
-    assert staging.shared_folder(_Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    local = staging.shared_folder(_Session("local[2]"))
-    assert local == staging.shared_folder(_Session("local[2]")) and "spotshare-" in local
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        staging.shared_folder(_Session("yarn"))
+    warehouse = {"spark_sql_warehouse_dir": "/w/house"}
+    assert staging.shared_folder(_Session(spark_checkpoint_dir="hdfs:///shared/", **warehouse)) == "hdfs:///shared"
+    assert staging.shared_folder(_Session(**warehouse)) == "/w/house"

@@ -138,19 +138,24 @@ def test_segments_are_disjoint_and_hot_keys_stay_bounded(spark):
     want = {}
     for i in range(20000):
         for day in range(i % 700 + 1, i % 700 + 2 + i % 37):
-            want[day] = i
+            want[ORIGIN // DAY + day] = i
     assert days == want
 
 
-def test_null_bound_and_foreign_day_fail(spark):
+def test_null_bounds_and_times_fail_and_foreign_days_miss(spark):
     dim = spark.createDataFrame([(1, 2, None, 0)], "k BIGINT, fecha_ini BIGINT, fecha_fin BIGINT, ord INT")
     fact = spark.createDataFrame([(1, ORIGIN)], "k BIGINT, fecha_dia BIGINT")
     with pytest.raises(Exception, match="must not be null"):
         last_match(fact, dim, {"k": "k"}, {"v": F.col("ord")}, "w").collect()
     good = spark.createDataFrame([(1, ORIGIN, ORIGIN + 9 * DAY, 0)], "k BIGINT, fecha_ini BIGINT, fecha_fin BIGINT, ord INT")
-    early = spark.createDataFrame([(1, 0)], "k BIGINT, fecha_dia BIGINT")
-    with pytest.raises(Exception, match="outside the lookup calendar"):
-        last_match(early, good, {"k": "k"}, {"v": F.col("ord")}, "w").collect()
+    days = spark.createDataFrame([(1, d * DAY) for d in (-9000, 0, 40000)], "k BIGINT, fecha_dia BIGINT")
+    assert [r["w"] for r in last_match(days, good, {"k": "k"}, {"v": F.col("ord")}, "w").collect()] == [None] * 3
+    old = spark.createDataFrame([(1, -9001 * DAY, -8990 * DAY, 3)], "k BIGINT, fecha_ini BIGINT, fecha_fin BIGINT, ord INT")
+    out = last_match(days, old, {"k": "k"}, {"v": F.col("ord")}, "w").collect()
+    assert [r["w"] and r["w"]["v"]["v"] for r in sorted(out, key=lambda r: r["fecha_dia"])] == [3, None, None]
+    noon = spark.createDataFrame([(1, ORIGIN + DAY // 2)], "k BIGINT, fecha_dia BIGINT")
+    with pytest.raises(Exception, match="time of day"):
+        last_match(noon, good, {"k": "k"}, {"v": F.col("ord")}, "w").collect()
 
 
 def test_day_types(spark):

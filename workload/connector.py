@@ -103,7 +103,9 @@ def _write_pages(spark: SparkSession, sf: str, field: str) -> str:
     pages = rows.groupBy(F.call_function("div", F.col("c_custkey"), F.lit(PAGE_ROWS)).alias("page")).agg(
         F.collect_list(record).alias("records")
     )
-    body = F.struct(F.size("records").alias("totalSize"), F.lit(True).alias("done"), F.col("records"))
+    # every page states how many records there are in all; the last one says so
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.call_function("div", F.col("c_custkey"), F.lit(PAGE_ROWS))).alias("last")).first()
+    body = F.struct(F.lit(seen["n"]).alias("totalSize"), (F.col("page") == F.lit(seen["last"])).alias("done"), F.col("records"))
     if field == records.WRAPPED:
         body = F.struct(F.struct(F.col("records")).alias("results"))
     path = new_folder(spark, "pages")
