@@ -15,6 +15,9 @@ NUMERIC = ("int", "bigint", "double")
 # Types in test order; a value counts for the first that reads it.
 KINDS = (*NUMERIC, "timestamp", "boolean", "string")
 
+# A schema is made on the driver, so its columns are bounded.
+MAX_COLUMNS = 10_000
+
 
 def value_type(text: Column, pattern: str | None = None) -> Column:
     """Position in ``KINDS`` of the type of one value; NULL for blanks."""
@@ -33,37 +36,42 @@ def value_type(text: Column, pattern: str | None = None) -> Column:
     return kind.otherwise(len(tests))
 
 
-def _infer(pairs: DataFrame, pattern: str | None) -> DataFrame:
-    """Same type, else the widest numeric one, else text; text when there is no value at all.
+def _seen(text: Column, pattern: str | None) -> Column:
+    """The types seen in a column as bits of one number, which partial aggregation merges before the shuffle."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1), value_type(text, pattern))).alias("seen")
 
-    The types seen in a column are bits of one number, which partial aggregation merges before the shuffle.
-    """
-    kinds = pairs.select("column", value_type(F.col("value"), pattern).alias("kind"))
-    seen = kinds.select("column", F.expr("shiftleft(1, kind)").alias("seen")).groupBy("column")
+
+def _common_type(seen: DataFrame) -> DataFrame:
+    """Same type, else the widest numeric one, else text; text when there is no value at all."""
     numeric = F.when(F.col("seen") >= 4, "double").when(F.col("seen") >= 2, "bigint").otherwise("int")
     common = (
         F.when(F.col("seen").between(1, 7), numeric).when(F.col("seen") == 8, "timestamp").when(F.col("seen") == 16, "boolean")
     )
-    return seen.agg(F.bit_or("seen").alias("seen")).select("column", common.otherwise("string").alias("type"))
+    return seen.select("column", common.otherwise("string").alias("type"))
 
 
 def infer_columns(df: DataFrame, pattern: str | None = None) -> DataFrame:
-    """``column, type`` of every (text) column."""
-    return _infer(df.unpivot([], [F.col(f"`{c}`") for c in df.columns], "column", "value"), pattern)
+    """``column, type`` of every (text) column, from one aggregate over the rows as they are."""
+    seen = [F.struct(F.lit(c).alias("column"), _seen(F.col(f"`{c}`"), pattern)) for c in df.columns]
+    return _common_type(df.agg(F.array(*seen).alias("seen")).select(F.inline("seen")))
 
 
 def infer_map(df: DataFrame, column: str, pattern: str | None = None) -> DataFrame:
     """``column, type`` of every key of a text map; keys may differ from row to row."""
-    return _infer(df.select(F.explode(column).alias("column", "value")), pattern)
+    values = df.select(F.explode(column).alias("column", "value"))
+    return _common_type(values.groupBy("column").agg(_seen(F.col("value"), pattern)))
 
 
 def union_of_keys(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.explode(F.map_keys(column)).alias("column")).distinct()
 
 
-def to_schema(types: DataFrame) -> T.StructType:
-    """Inferred types (one row for each column) as a schema, columns in name order."""
-    fields = [T.StructField(row["column"], T._parse_datatype_string(row["type"]), True) for row in types.collect()]
+def to_schema(types: DataFrame, max_columns: int = MAX_COLUMNS) -> T.StructType:
+    """Inferred types (one row for each column) as a schema, columns in name order; more than ``max_columns`` raise."""
+    rows = types.limit(max_columns + 1).collect()
+    if len(rows) > max_columns:
+        raise ValueError(f"more than {max_columns} different keys cannot become columns")
+    fields = [T.StructField(row["column"], T.StructType.fromDDL(f"value {row['type']}")["value"].dataType, True) for row in rows]
     return T.StructType(sorted(fields, key=lambda f: f.name))
 
 

@@ -9,6 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from spotshare.plans.staging import write_stage
 
 _SHIFT = 33
+# A page that ends within so many rows of the start is read by a top-k, which writes nothing.
+SHALLOW_ROWS = 10_000
+
+
+def _total_order(df: DataFrame, order_by: Sequence[str | Column]) -> list[str | Column]:
+    return [*order_by, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
 
 
 def positioned(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
@@ -18,11 +24,10 @@ def positioned(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
     the partition counts. No task sees more than its own range of keys; rows with equal keys are ranged by a hash of
     the whole row, so that a hot key is spread as well.
     """
-    ties = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    staged = write_stage(df.orderBy(*order_by, ties).withColumn("__id", F.monotonically_increasing_id()), "sorted")
+    staged = write_stage(df.orderBy(*_total_order(df, order_by)).withColumn("__id", F.monotonically_increasing_id()), "sorted")
     part = F.shiftrightunsigned("__id", _SHIFT)
     counts = staged.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
-    # One row for each written partition.
+    # One row for each written partition, of which a sort makes at most spark.sql.shuffle.partitions: 16 bytes each.
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
     joined = staged.join(F.broadcast(starts), part == F.col("__part"))
@@ -44,7 +49,14 @@ def pages(df: DataFrame, order_by: Sequence[str | Column], page_size: int) -> Da
 
 
 def page(df: DataFrame, order_by: Sequence[str | Column], limit: int, offset: int) -> DataFrame:
-    """One page. Only its rows leave their partitions, however deep the offset."""
+    """One page, in no order; the same rows by either way.
+
+    A shallow page is a top-k. For a deep one all rows are ranged and written once, then the page's rows are read by position.
+    """
+    if limit < 0 or offset < 0:
+        raise ValueError("limit and offset must not be negative")
+    if limit + offset <= SHALLOW_ROWS:
+        return df.orderBy(*_total_order(df, order_by)).offset(offset).limit(limit)
     inside = (F.col("position") >= offset) & (F.col("position") < offset + limit)
     return positioned(df, order_by).where(inside).drop("position")
 

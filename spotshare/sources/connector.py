@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -43,7 +44,8 @@ def save(
 ) -> DataFrame | None:
     """Write records.
 
-    With ``dataset`` the rows go to ``path`` as CSV parts with metadata; an upsert needs ``metadata``. With
+    With ``dataset`` the rows go to ``path`` as CSV parts with metadata; an upsert needs ``metadata``. ``metadataConfig``, a JSON
+    object of type descriptions by Spark type name, replaces built-in ones. With
     ``object`` they are applied to the keyed table ``target`` and the resulting table is returned.
     """
     kind = opt.exactly_one(options, "dataset", "object")
@@ -56,8 +58,10 @@ def save(
         raise ValueError("metadata has to be provided for upsert")
     write_mode = tables.dataset_mode(mode, upsert)
     path = opt.required(options, "path", "when writing a dataset")
-    # An upload in upsert mode is resolved by its consumer; its parts are added like an append.
+    types = json.loads(options["metadataConfig"]) if options.get("metadataConfig") else None
+    # An upsert is resolved by its consumer, by the recorded operation; its parts are added like an append.
     export_dataset(
-        df, path, options["dataset"], "overwrite" if write_mode == "overwrite" else "append", options.get("metadata")
+        df, path, options["dataset"], "overwrite" if write_mode == "overwrite" else "append", options.get("metadata"), types,
+        operation=write_mode,
     )
     return None

@@ -4,13 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spotshare.functions.csvtext import csv_row
 from spotshare.operators.sizing import MAX_BUNDLE_BYTES, size_repartition
 from spotshare.sources.metadata import dataset_metadata
 
 
+def _text(spark: SparkSession, path: str) -> str | None:
+    """The text stored at ``path``, None if there is none."""
+    try:
+        found = spark.read.text(path, wholetext=True).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return found and found["value"].rstrip("\n")
+
+
 def export_dataset(
     df: DataFrame,
     path: str,
@@ -19,13 +31,18 @@ def export_dataset(
     metadata: str | None = None,
     types: Mapping[str, Mapping[str, object]] | None = None,
     max_bytes: int = MAX_BUNDLE_BYTES,
+    operation: str | None = None,
 ) -> None:
     """Metadata below ``path/metadata``, then numbered CSV parts without header below ``path/data``.
 
-    The parts count as committed when Spark has written the ``_SUCCESS`` marker next to them.
+    ``operation`` (default: the mode) says below ``path/operation`` how the consumer has to apply the parts. Parts are appended
+    only to parts of the same metadata. The parts count as committed when Spark has written the ``_SUCCESS`` marker next to them.
     """
     text = metadata if metadata is not None else dataset_metadata(df.schema, dataset, types)
-    df.sparkSession.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(f"{path}/metadata")
+    if mode == "append" and _text(df.sparkSession, f"{path}/metadata") not in (None, text):
+        raise ValueError(f"the parts below {path} have other metadata")
+    for name, value in (("metadata", text), ("operation", operation or mode)):
+        df.sparkSession.range(1).select(F.lit(value).alias("value")).write.mode("overwrite").text(f"{path}/{name}")
     parts = size_repartition(df, max_bytes)
     parts.select(csv_row(parts).alias("value")).write.mode(mode).text(f"{path}/data")
 

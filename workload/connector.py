@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from spotshare.functions.csvtext import csv_row
+from spotshare.functions.csvtext import csv_header, csv_row
+from spotshare.functions.temporal import current_month
 from spotshare.operators import conform as conform_ops, infer, merge, paging, sizing, status
 from spotshare.plans.staging import new_folder
-from spotshare.sources import export, records, tables
+from spotshare.sources import connector, export, records, tables
 from workload.share import query
 from workload.views import TABLES, table, view
 
@@ -128,6 +129,12 @@ def flatten_records(spark, sf):
     return _flat_pages(spark, sf, records.WRAPPED)
 
 
+@query("connector_load", _CUSTOMERS)
+def connector_load(spark, sf):
+    loaded = connector.load(spark, {"recordPages": _write_pages(spark, sf, records.PLAIN)})
+    return loaded.toDF(*[c.replace(".", "_") for c in loaded.columns])
+
+
 # -- text maps -----------------------------------------------------------------------------------------------------
 
 TEXT_FIELDS = {
@@ -180,12 +187,18 @@ def infer_schema(spark, sf):
     return present
 
 
+@query("infer_columns", f'{_TYPED} SELECT "column", type FROM kinds')
+def infer_columns(spark, sf):
+    maps = text_maps(spark, sf)
+    return infer.infer_columns(maps.select(*(F.try_element_at("fields", F.lit(c)).alias(c) for c in TEXT_FIELDS)))
+
+
 @query("apply_schema", f"""WITH r AS ({_TEXT_ROWS}) SELECT o_orderkey, TRY_CAST(code AS INTEGER) AS code, TRY_CAST(big AS BIGINT) AS big,
   TRY_CAST(price AS DOUBLE) AS price, CAST(epoch(CAST(day AS TIMESTAMP)) AS BIGINT) AS day, lower(urgent) = 'true' AS urgent,
   coalesce(note, '') AS note, TRY_CAST(mixed AS DOUBLE) AS mixed, CASE WHEN odd = 'true' THEN NULL ELSE CAST(odd AS INTEGER) END AS odd,
   CAST(CAST(replace(amount, ',', '') AS DECIMAL(18,2)) AS DOUBLE) AS amount, '' AS absent, TRY_CAST(rare AS INTEGER) AS rare FROM r""")
 def apply_schema(spark, sf):
-    schema = T._parse_datatype_string(TEXT_SCHEMA)
+    schema = T.StructType.fromDDL(TEXT_SCHEMA)
     typed = infer.apply_schema(text_maps(spark, sf), schema, "fields", keep=["o_orderkey"])
     return _epochs(typed).withColumn("amount", F.col("amount").cast("double"))
 
@@ -227,6 +240,11 @@ def page_limit_offset(spark, sf):
     return paging.pages(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], 1000)
 
 
+@query("page_single", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 500 OFFSET 1500")
+def page_single(spark, sf):
+    return paging.page(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], 500, 1500)
+
+
 @query("key_chunks", """WITH c AS (SELECT o_orderkey, (o_orderkey - (SELECT min(o_orderkey) FROM orders)) // 2500 AS chunk_id FROM orders)
 SELECT chunk_id, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, count(*) AS n_rows FROM c GROUP BY chunk_id""")
 def key_chunks(spark, sf):
@@ -274,7 +292,7 @@ def csv_batches_read(spark, sf):
     kind = F.col("batch_id") % 4
     state = F.when(kind == 2, "Failed").when(kind == 3, "InProgress").otherwise("Completed")
     batches = docs.select("batch_id", state.alias("state")).distinct()
-    schema = T._parse_datatype_string("doc_id BIGINT, text STRING, lang STRING, batch_id BIGINT")
+    schema = T.StructType.fromDDL("doc_id BIGINT, text STRING, lang STRING, batch_id BIGINT")
     return records.read_csv_batches(spark, path, batches, schema)
 
 
@@ -288,18 +306,42 @@ def size_repartition(spark, sf):
     return sizing.size_repartition(table(spark, sf, "documents"), 1024 * 1024).select("doc_id", "n_chars")
 
 
+@query("size_partitions", f"""WITH s AS (SELECT count(*) AS n_rows, sum(strlen({_DOC_ROW})) AS b FROM documents)
+SELECT n_rows, CAST(CASE WHEN b <= 262144 THEN 1 ELSE b // 262144 + 1 END AS BIGINT) AS n_parts FROM s""")
+def size_partitions(spark, sf):
+    """How many partitions a bound of 256 KiB makes, and the rows in them."""
+    parts = sizing.size_repartition(table(spark, sf, "documents"), 262144).groupBy(F.spark_partition_id().alias("part"))
+    return parts.agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_parts"))
+
+
+@query("csv_header", "SELECT 'doc_id,text,lang,source,n_chars' AS header, count(*) AS n_rows FROM documents")
+def csv_header_query(spark, sf):
+    docs = table(spark, sf, "documents")
+    return docs.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(csv_header(docs)).alias("header"), "n_rows")
+
+
+@query("csv_batches_sized", "SELECT doc_id, lang, source, n_chars FROM documents")
+def csv_batches_sized(spark, sf):
+    """Headed batches of bounded size, read back."""
+    path = new_folder(spark, "batches")
+    export.export_batches(table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars"), path, 65536)
+    reader = spark.read.schema("doc_id BIGINT, lang STRING, source STRING, n_chars BIGINT").options(header=True, enforceSchema=False)
+    return reader.options(quote='"', escape='"', mode="FAILFAST").csv(path)
+
+
 # -- merges and tables ---------------------------------------------------------------------------------------------
 
-_TARGET = "SELECT * FROM customer WHERE c_custkey % 2 = 0"
-_SOURCE = "SELECT c_custkey, c_name, c_acctbal + 1000 AS c_acctbal FROM customer WHERE c_custkey % 3 = 0"
+# Every customer is in the target; in the source two thirds have new keys.
+_TARGET = "SELECT * FROM customer"
+_NEW_KEY = "CASE WHEN c_custkey % 3 = 0 THEN c_custkey ELSE c_custkey + 1000000000 END AS c_custkey"
+_SOURCE = f"SELECT {_NEW_KEY}, c_name, c_acctbal + 1000 AS c_acctbal FROM customer"
 _MERGED = """SELECT coalesce(t.c_custkey, s.c_custkey) AS c_custkey, CASE WHEN s.c_custkey IS NOT NULL THEN s.c_name ELSE t.c_name END AS c_name,
   t.c_nationkey, CASE WHEN s.c_custkey IS NOT NULL THEN s.c_acctbal ELSE t.c_acctbal END AS c_acctbal, t.c_mktsegment"""
 
 
 def _merge_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     customer = table(spark, sf, "customer")
-    source = customer.where("c_custkey % 3 = 0").selectExpr("c_custkey", "c_name", "c_acctbal + 1000 AS c_acctbal")
-    return customer.where("c_custkey % 2 = 0"), source
+    return customer, customer.selectExpr(_NEW_KEY, "c_name", "c_acctbal + 1000 AS c_acctbal")
 
 
 @query("merge_insert", f"SELECT * FROM ({_TARGET}) UNION ALL SELECT c_custkey, c_name, NULL, c_acctbal, NULL FROM ({_SOURCE})")
@@ -317,6 +359,29 @@ def merge_upsert(spark, sf):
     return merge.upsert(*_merge_sides(spark, sf), "c_custkey")
 
 
+@query("merge_upsert_empty_target", f"SELECT c_custkey, c_name, NULL AS c_nationkey, c_acctbal, NULL AS c_mktsegment FROM ({_SOURCE})")
+def merge_upsert_empty_target(spark, sf):
+    target, source = _merge_sides(spark, sf)
+    return merge.upsert(target.where("1 = 0"), source, "c_custkey")
+
+
+@query("object_operation", f"{_MERGED} FROM ({_TARGET}) t LEFT JOIN ({_SOURCE}) s ON t.c_custkey = s.c_custkey")
+def object_operation(spark, sf):
+    """Records applied to a keyed object by options; overwriting means to update."""
+    target, source = _merge_sides(spark, sf)
+    return connector.save(source, {"object": "customer", "externalIdFieldName": "c_custkey"}, "overwrite", target)
+
+
+@query("register_view", "SELECT * FROM supplier")
+def register_view(spark, sf):
+    return spark.table(tables.register_view(table(spark, sf, "supplier"), "registered_supplier"))
+
+
+@query("current_month", "SELECT o_orderkey, strftime(current_date, '%Y-%m') AS process_month FROM orders")
+def current_month_query(spark, sf):
+    return table(spark, sf, "orders").select("o_orderkey", current_month("UTC").alias("process_month"))
+
+
 def _saved(spark: SparkSession, steps: list[tuple[DataFrame, str]]) -> DataFrame:
     """Run the writes on one external table and read its files back."""
     path = new_folder(spark, "table")
@@ -327,16 +392,16 @@ def _saved(spark: SparkSession, steps: list[tuple[DataFrame, str]]) -> DataFrame
     return spark.read.parquet(path)
 
 
-@query("table_append", "SELECT * FROM supplier UNION ALL SELECT * FROM supplier WHERE s_suppkey % 2 = 0")
+@query("table_append", "SELECT * FROM supplier UNION ALL SELECT * FROM supplier")
 def table_append(spark, sf):
     supplier = table(spark, sf, "supplier")
-    return _saved(spark, [(supplier, "overwrite"), (supplier.where("s_suppkey % 2 = 0"), "append")])
+    return _saved(spark, [(supplier, "overwrite"), (supplier, "append")])
 
 
-@query("table_overwrite", "SELECT * FROM supplier WHERE s_suppkey % 2 = 0")
+@query("table_overwrite", "SELECT * REPLACE (s_suppkey + 1 AS s_suppkey) FROM supplier")
 def table_overwrite(spark, sf):
     supplier = table(spark, sf, "supplier")
-    return _saved(spark, [(supplier, "overwrite"), (supplier.where("s_suppkey % 2 = 0"), "overwrite")])
+    return _saved(spark, [(supplier, "overwrite"), (supplier.withColumn("s_suppkey", F.expr("s_suppkey + 1")), "overwrite")])
 
 
 @query("write_dimension", _conformed_sql("agrup_cadenas"))
