@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spotshare.llm.common import CHUNK_BYTES, batch_of, chunks, prefix_sums, span_hashes
-from spotshare.plans.staging import write_stage
+from spotshare.plans.staging import join_side, write_stage
 
 LENGTH = 200
 GRAM = 32
@@ -105,15 +105,15 @@ def _slices(held: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[tuple, int] = {}
         for batch in batches:
-            for content, runs in zip(batch.column(0), batch.column(1)):
+            for content, runs, rows_of_text in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
                 for key, starts in _pieces(content.as_py(), runs, length).items():
-                    own[key] = own.get(key, 0) + len(starts)
+                    own[key] = own.get(key, 0) + len(starts) * rows_of_text
                 if len(own) >= SLICES_AT_ONCE:
                     yield from rows(own)
                     own = {}
         yield from rows(own)
 
-    return held.select("content", "runs").mapInArrow(run, "id binary, anchor long, count int, offset int, bytes binary, copies long")
+    return held.select("content", "runs", "rows").mapInArrow(run, "id binary, anchor long, count int, offset int, bytes binary, copies long")
 
 
 def _members(held: DataFrame, length: int) -> DataFrame:
@@ -126,7 +126,7 @@ def _members(held: DataFrame, length: int) -> DataFrame:
                 own = _pieces(content.as_py(), runs, length)
                 yield batch_of(schema, digest=[digest.as_py()] * len(own), id=[k[0] for k in own], starts=list(own.values()))
 
-    return held.select("digest", "content", "runs").mapInArrow(run, "digest binary, id binary, starts array<int>")
+    return held.select("digest", "content", "runs", "rows").mapInArrow(run, "digest binary, id binary, starts array<int>")
 
 
 def _words_at(buf: np.ndarray) -> np.ndarray:
@@ -286,7 +286,7 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
                 if len(edges):
                     yield batch_of(schema, digest=[digest.as_py()], kept=[kept], spans=[edges.tolist()])
 
-    return rows.select("digest", "content", "found").mapInArrow(run, "digest binary, kept binary, spans array<array<int>>")
+    return rows.select("digest", "content", "found", "rows").mapInArrow(run, "digest binary, kept binary, spans array<array<int>>")
 
 
 def content_of(text: str = "text") -> Column:
@@ -302,8 +302,8 @@ def cuts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT
     (maximal removed runs, [from, to)).
 
     A byte goes if a string of ``length`` bytes that covers it also starts elsewhere in the corpus, in the same text or another
-    row; all places lose it. Repeated rows and copies count as places of their own. Texts are whole, as UTF-8; NULL is empty and
-    never loses anything. Ids and other columns are not read.
+    row; all places lose it. Repeated rows and copies count as places of their own, so a text with copies loses all its bytes if
+    it is long enough. Texts are whole, as UTF-8; NULL is empty and never loses anything. Ids and other columns are not read.
     """
     texts = docs.select(content_of().alias("content")).where(F.octet_length("content") >= length).withColumn(
         "digest", digest_of(F.col("content"))
@@ -320,22 +320,24 @@ def cuts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT
         .groupBy("row").agg(F.collect_list(F.struct("anchor", "place")).alias("runs"), F.count(F.lit(1)).alias("n"))
         .join(first_rows, "row").select("digest", "runs"), "runs"
     )
-    # one text for each digest; both its uses below and the cut read the same exchange of texts
-    text = texts.select("digest", "content")
-    held = text.join(lists.hint("merge"), "digest").groupBy("digest").agg(F.first("content").alias("content"), F.first("runs").alias("runs"))
+    # one text for each digest, with its number of rows: copies meet before they are exchanged. Slices, members and the cut all
+    # take the same columns, so that they read one exchange of texts
+    text = texts.groupBy("digest").agg(F.first("content").alias("content"), F.count(F.lit(1)).alias("rows"))
+    held = text.join(lists.hint("merge"), "digest")
     slices = _slices(held, length)
     wide = often.where(F.col("places") > hot).select("anchor")
     if wide.isEmpty():
         repeats = _sorted_slices(slices, length)
     else:
+        # slices are exchanged only once the few anchors of many places are told apart, each part by its own key
+        wide = join_side(wide)
         repeats = _sorted_slices(slices.join(wide, "anchor", "left_anti"), length).unionByName(
             _hot_slices(slices.join(wide, "anchor", "left_semi"), length))
     found = (
         _members(held, length).join(repeats.hint("merge"), "id")
         .groupBy("digest").agg(F.collect_list(F.struct("starts", "repeats")).alias("found"))
     )
-    return _cut(text.join(found.hint("merge"), "digest").groupBy("digest").agg(
-        F.first("content").alias("content"), F.first("found").alias("found")), length)
+    return _cut(text.join(found.hint("merge"), "digest"), length)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -347,35 +349,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     content = content_of()
     own = [f"`{c}`" for c in docs.columns if c.lower() not in ("kept", "spans", "n_bytes")]
     marked = docs.select(*own, digest_of(content).alias("__digest"), F.octet_length(content).cast("long").alias("n_bytes"))
-    changed = _results(docs, length, gram, hot).withColumnRenamed("digest", "__digest")
+    changed = cuts(docs, length, gram, hot).withColumnRenamed("digest", "__digest")
     done = marked.join(changed, "__digest", "left")
     return done.select(*own, "n_bytes", F.coalesce("kept", content_of()).alias("kept"),
                        F.coalesce("spans", F.array().cast("array<array<int>>")).alias("spans"))
 
 
-def _results(docs: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
-    """``cuts``, and whole removal for texts that stand in several rows."""
-    content = content_of()
-    copied = (
-        docs.where(F.octet_length(content) >= length).select(digest_of(content).alias("digest"), F.octet_length(content).alias("size"))
-        .groupBy("digest", "size").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    )
-    single = cuts(docs, length, gram, hot)
-    both = single.join(copied.withColumnRenamed("digest", "copied"), F.col("digest") == F.col("copied"), "full_outer")
-    whole = F.col("copied").isNotNull()
-    return both.select(
-        F.coalesce("digest", "copied").alias("digest"), F.when(whole, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
-        F.when(whole, F.array(F.array(F.lit(0), F.col("size")))).otherwise(F.col("spans")).alias("spans"),
-    )
-
-
 def removal_digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans and the digest of the bytes that are left."""
     content = content_of()
     own = docs.select(
         "doc_id", digest_of(content).alias("digest"), F.octet_length(content).cast("long").alias("n_bytes"), F.sha2(content, 256).alias("whole")
     )
-    changed = _results(docs, length, gram, hot).select(
+    changed = cuts(docs, length, gram, hot).select(
         "digest", F.octet_length("kept").cast("long").alias("n_kept"), F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
