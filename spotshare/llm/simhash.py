@@ -4,18 +4,19 @@ The population counts of a fingerprint's parts (four of 16 bits, say) name its t
 have counts that differ by at most r in sum, so only such tiles are compared, and every pair within the radius is compared:
 the result is exact. Tiles are cut into blocks of bounded size; a task compares one block with one block by exclusive-or
 and bit counts. For a wide radius, where chance pairs occur, every pair within it is also held against a sketch of both
-texts' shingles, in the same task.
+texts' shingles, in the same task. Such pairs are only candidates: the components they form are cut into blocks, and two texts are
+linked only if the exact Jaccard similarity of their whole shingle sets reaches the bound.
 """
 
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from spotshare.llm.common import batch_of, encoded
 from spotshare.llm.components import components
@@ -23,27 +24,34 @@ from spotshare.plans.staging import join_side, write_stage
 
 BLOCK = 2048  # fingerprints in a block of a tile
 BINS = 64  # bytes of a sketch
-WIDE = 12  # bits: four fifths of 64 agree
-AGREEMENT = 0.75  # of two sketches: what all but a tenth of the pairs of similarity 0.8 have
+WIDE = 20  # bits: pairs of similarity 0.8 differ in 9.7, with a deviation of 2.9
+AGREEMENT = 0.6  # of two sketches: four deviations below 0.8
+SIMILARITY = 0.8  # Jaccard, of whole shingle sets
+SETS = 1024  # shingle sets in a block of a component of candidates
+SHINGLES = 1 << 18  # in all sets of such a block, about
 _PAIRS_AT_ONCE = 1 << 18
 _HASHES_AT_ONCE = 1 << 16
 
 
-def fingerprint(text: bytes, words: int = 3) -> tuple[int, bytes]:
-    """The SimHash of a text, and a sketch of its shingles.
-
-    SimHash: bits that are set in over half of the XXH64 (seed 42) of its word shingles; 0 without words. Sketch: the shingles'
-    hashes are dealt over BINS bins, and each keeps a byte of its smallest; 0 where there is none.
-    """
+def _hashes(text: bytes, words: int) -> Iterator[int]:
+    """XXH64 (seed 42) of the word shingles of a text, in order; a text of fewer words is one shingle."""
     w = text.lower().split()
     if not w:
-        return 0, bytes(BINS)
-    hashes = [xxhash.xxh64_intdigest(b" ".join(w), 42)] if len(w) < words else (
-        xxhash.xxh64_intdigest(s, 42) for s in map(b" ".join, zip(*(w[i:] for i in range(words))))
-    )
-    hashes = iter(hashes)
-    total, ones, low = 0, np.zeros(64, dtype=np.int64), np.full(BINS, np.iinfo(np.uint64).max, dtype=np.uint64)
+        return iter(())
+    if len(w) < words:
+        return iter((xxhash.xxh64_intdigest(b" ".join(w), 42),))
+    return (xxhash.xxh64_intdigest(s, 42) for s in map(b" ".join, zip(*(w[i:] for i in range(words)))))
+
+
+def _parts(hashes: Iterator[int]) -> Iterator[np.ndarray]:
     while len(part := np.fromiter(itertools.islice(hashes, _HASHES_AT_ONCE), dtype=np.uint64)):
+        yield part
+
+
+def _print_of(parts: Iterable[np.ndarray]) -> tuple[int, bytes]:
+    """The SimHash and the sketch of hashes that come in parts."""
+    total, ones, low = 0, np.zeros(64, dtype=np.int64), np.full(BINS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for part in parts:
         bits = np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         for i in range(0, len(bits), 255):
             ones += bits[i : i + 255].sum(axis=0, dtype=np.uint8)
@@ -53,6 +61,20 @@ def fingerprint(text: bytes, words: int = 3) -> tuple[int, bytes]:
     return int(np.packbits(2 * ones > total).view(">u8")[0]), sketch.tobytes()
 
 
+def fingerprint(text: bytes, words: int = 3) -> tuple[int, bytes]:
+    """The SimHash of a text, and a sketch of its shingles.
+
+    SimHash: bits that are set in over half of the XXH64 (seed 42) of its word shingles; 0 without words. Sketch: the shingles'
+    hashes are dealt over BINS bins, and each keeps a byte of its smallest; 0 where there is none.
+    """
+    return _print_of(_parts(_hashes(text, words)))
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The different hashes of a text's word shingles, sorted; none without words."""
+    return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *_parts(_hashes(text, words))]))
+
+
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """``doc_id``, ``fingerprint`` (64 bits as a signed long) and ``sketch`` of every row; a NULL text is empty."""
     schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.int64()), ("sketch", pa.binary())])
@@ -178,7 +200,11 @@ def near_links(prints: DataFrame, radius: int = 3, parts: int = 4, agreement: fl
 
 def _classes(own: DataFrame, prints: DataFrame, **links) -> DataFrame:
     """``node`` and ``component_id`` for the nodes of ``own`` (``doc_id``, ``node``) under the links between ``prints``."""
-    reached = components(near_links(prints, **links))
+    return _named(own, components(near_links(prints, **links)))
+
+
+def _named(own: DataFrame, reached: DataFrame) -> DataFrame:
+    """``node`` and ``component_id``, the smallest doc_id of the nodes of ``own`` with its root in ``reached``."""
     roots = write_stage(
         own.groupBy("node").agg(F.min("doc_id").alias("first_id")).join(reached, "node", "left").withColumn("root", F.coalesce("root", "node")), "roots"
     )
@@ -199,13 +225,102 @@ def near_duplicates(docs: DataFrame, radius: int = 3, words: int = 3, block: int
     return own.join(classes, "node").select("doc_id", "fingerprint", "component_id")
 
 
-def near_copies(docs: DataFrame, words: int = 5, radius: int = WIDE, agreement: float = AGREEMENT, block: int = 4 * BLOCK) -> DataFrame:
-    """``doc_id`` and ``component_id`` for every row: groups of texts that share about four fifths of their word shingles.
+def copy_prints(docs: DataFrame, words: int = 5) -> DataFrame:
+    """``docs`` with ``__row`` (a number of the row, to be written before it is used), ``__node`` (a hash of the shingle set, equal
+    for equal sets), ``__fingerprint`` and ``__sketch``, both of the shingle set.
+    """
+    own = docs.select(F.col("text").cast("string").alias("__text"), *(F.col(f"`{c}`") for c in docs.columns), F.monotonically_increasing_id().alias("__row"))
+    added = [("__node", T.LongType(), pa.int64()), ("__fingerprint", T.LongType(), pa.int64()), ("__sketch", T.BinaryType(), pa.binary())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, words) for t in encoded(batch.column(0))]
+            found = [_print_of([x]) for x in sets]
+            nodes = np.array([xxhash.xxh64_intdigest(x.tobytes(), 42) for x in sets], dtype=np.uint64)
+            prints = np.array([f for f, _ in found], dtype=np.uint64)
+            made = [nodes.view(np.int64), prints.view(np.int64), [k for _, k in found]]
+            columns = batch.columns[1:] + [pa.array(v, type=kind) for v, (_, _, kind) in zip(made, added)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[1:] + [name for name, _, _ in added])
+
+    return own.mapInArrow(run, T.StructType(own.schema.fields[1:] + [T.StructField(name, kind) for name, kind, _ in added]))
+
+
+def _confirmed(nodes: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links between sets (not empty) of at least that Jaccard similarity; any two are compared unless
+    links join them already.
+    """
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    starts = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(sizes)))
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    held, label = np.zeros(len(values), dtype=np.int32), np.arange(len(sets))
+    found_a, found_b = [nodes[:0]], [nodes[:0]]
+    for i in range(len(sets) - 1):
+        apart = label[i + 1 :] != label[i]
+        if not apart.any():
+            continue
+        own = ids[starts[i] : starts[i + 1]]
+        held[own] = 1
+        common = np.add.reduceat(held[ids[starts[i + 1] :]], starts[i + 1 : -1] - starts[i + 1])
+        held[own] = 0
+        # common / (both - common) >= similarity
+        alike = apart & (common * (1 + similarity) >= similarity * (sizes[i] + sizes[i + 1 :]) - 1e-6)
+        others = i + 1 + np.flatnonzero(alike)
+        if len(others):
+            labels, first = np.unique(label[others], return_index=True)
+            found_a.append(np.full(len(first), nodes[i]))
+            found_b.append(nodes[others[first]])
+            label[np.isin(label, labels)] = label[i]
+    return np.concatenate(found_a), np.concatenate(found_b)
+
+
+def copy_groups(
+    own: DataFrame, words: int = 5, radius: int = WIDE, agreement: float = AGREEMENT, block: int = 4 * BLOCK, similarity: float = SIMILARITY,
+    sets_at_once: int = SETS,
+) -> DataFrame:
+    """``node`` and ``root`` for each node of ``own`` (``copy_prints``, written) that a link joins to another.
+
+    Linked are shingle sets of at least that Jaccard similarity, computed exactly. Fingerprints and sketches only find the
+    candidates: links between them form components, and within a component all pairs of sets are compared that no links join yet.
+    """
+    prints = own.select(F.col("__node").alias("node"), F.col("__fingerprint").alias("fingerprint"), F.col("__sketch").alias("sketch"))
+    near = components(near_links(prints.dropDuplicates(["node"]), radius=radius, parts=1, agreement=agreement, block=block))
+    # one text of each candidate is read again, for its whole shingle set
+    rows = own.groupBy(F.col("__node").alias("node")).agg(F.min("__row").alias("__row")).join(near, "node")
+    texts = own.select("__row", F.col("text").cast("string")).join(join_side(rows), "__row").select("root", "node", "text")
+    schema = pa.schema([("root", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("shingles", pa.binary())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, words) for t in encoded(batch.column(2))]
+            yield batch_of(schema, root=batch.column(0), node=batch.column(1), size=[len(x) for x in sets], shingles=[x.tobytes() for x in sets])
+
+    sets = write_stage(texts.mapInArrow(read, "root long, node long, size long, shingles binary"), "sets")
+    blocks = sets.groupBy("root").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / sets_at_once, F.sum("size") / SHINGLES)).cast("int").alias("blocks"))
+    # a set goes to every pair that its block forms with another block, or to the only block
+    dealt = sets.join(join_side(blocks), "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("blocks = 1 OR block <> other")
+    pairs = dealt.groupBy("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).agg(
+        F.collect_list("node").alias("nodes"), F.collect_list("shingles").alias("sets"))
+    links = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for nodes, found in zip(batch.column(0), batch.column(1)):
+                held = [np.frombuffer(x, dtype=np.uint64) for x in found.values.to_pylist()]
+                a, b = _confirmed(nodes.values.to_numpy(), held, similarity)
+                if len(a):
+                    yield batch_of(links, a=a, b=b)
+
+    return components(pairs.select("nodes", "sets").mapInArrow(confirm, "a long, b long"))
+
+
+def near_copies(docs: DataFrame, words: int = 5, **links) -> DataFrame:
+    """``doc_id`` and ``component_id`` for every row: groups of texts that share four fifths of their different word shingles.
 
-    Linked are texts whose fingerprints differ in at most ``radius`` bits and whose sketches agree. Rows, NULLs and ids as in
-    ``near_duplicates``; all texts without words are one group.
+    Linked are texts whose shingle sets have a Jaccard similarity of at least 0.8. ``links`` are those of ``copy_groups``. Rows,
+    NULLs and ids as in ``near_duplicates``; all texts without words are one group.
     """
-    own = write_stage(fingerprints(docs, words).withColumn("node", F.xxhash64("fingerprint", "sketch")), "fingerprints")
-    prints = own.select("node", "fingerprint", "sketch").dropDuplicates(["node"])
-    classes = _classes(own, prints, radius=radius, parts=1, agreement=agreement, block=block)
-    return own.join(classes, "node").select("doc_id", "component_id")
+    own = write_stage(copy_prints(docs.select(F.col("doc_id").cast("long"), "text"), words), "fingerprints")
+    classes = _named(own.select("doc_id", F.col("__node").alias("node")), copy_groups(own, words, **links))
+    return own.join(classes.withColumnRenamed("node", "__node"), "__node").select("doc_id", "component_id")

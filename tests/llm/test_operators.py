@@ -163,6 +163,26 @@ def test_near_copies_link_copies_and_leave_others(spark, empty):
     assert simhash.near_copies(empty).count() == 0
 
 
+@pytest.mark.parametrize("sets", [1024, 16])
+def test_near_copies_are_confirmed_by_exact_similarity(spark, sets):
+    rng = random.Random(6)
+    rows, want = [], {}
+    # so many common shingles and so many of each text's own: common / (common + 2 * own)
+    for common, own in ((420, 90), (390, 55), (398, 50), (400, 50), (410, 45), (850, 75)):
+        for _ in range(12):
+            head = [str(rng.random()) for _ in range(common + 4)]
+            k = len(rows)
+            rows += [(k + i, " ".join(head + [str(rng.random()) for _ in range(own)])) for i in range(2)]
+            want |= {k: k, k + 1: k if common / (common + 2 * own) >= 0.8 else k + 1}
+    head = [str(rng.random()) for _ in range(200)]
+    group = len(rows)
+    for i in range(60):
+        rows.append((group + i, " ".join([*head[:100], str(i), *head[100:]])))
+        want[group + i] = group
+    got = dict(simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), sets_at_once=sets).collect())
+    assert got == want
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)], "a long, b long")
     got = dict(components.components(edges).collect())
