@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from spotshare.llm import bpe, quality, simhash, suffixes, templates
 from spotshare.llm.common import table
 from spotshare.llm.queries import VOCABULARY
-from spotshare.plans.staging import write_stage
+from spotshare.plans.staging import join_side, write_stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -24,15 +24,19 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of near duplicates: the one with the group's smallest doc_id.
+    """Keeps exactly one row of each group of near duplicates, whatever its ids: the first by doc_id (NULL last), by the MD5 of its
+    text, then by its other columns.
 
-    Rows that share this id, repeated ones too, count as one document: one of them stays (the first by its other columns). In
-    a group without ids likewise.
+    Rows are documents: rows that share an id, NULL too, but no group each stay, and of equal rows one stays.
     """
-    classes = simhash.near_copies(docs)
-    firsts = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__first")).distinct()
-    kept = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    own = write_stage(simhash.copy_prints(docs), "prints")
+    groups = simhash.copy_groups(own).toDF("__node", "__root")
+    # maps and variants have no order
+    others = [f"`{c}`" for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind and "variant" not in kind]
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.md5(F.col("text").cast("string")), *others, "__row")).alias("first")
+    firsts = own.groupBy("__node").agg(first).join(groups, "__node", "left")
+    firsts = firsts.groupBy(F.coalesce("__root", "__node")).agg(F.min("first").alias("first")).select("first.__row")
+    return own.join(join_side(firsts), "__row", "left_semi").select(*(f"`{c}`" for c in docs.columns))
 
 
 def repeat_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,6 +27,16 @@ def test_near_duplicates_leave_one_of_each_group(spark, corpus):
     assert sorted(x for x in got if x is not None) == [*range(12), 60] and got.count(None) == 1
 
 
+def test_near_duplicates_leave_one_row_of_each_group_whatever_its_id(spark):
+    rng = random.Random(12)
+    a, b, c, d, e = (" ".join(str(rng.random()) for _ in range(80)) for _ in range(5))
+    # two clean rows without an id, one that is a copy, an id with three texts of which one is a copy of a smaller id's, twins
+    rows = [(None, a), (None, b), (None, c), (None, c + " end"), (1, d), (None, d), (7, e), (7, d), (7, a + " end"), (9, e), (9, e)]
+    docs = spark.createDataFrame([(k, t, "en", str(i), 1) for i, (k, t) in enumerate(rows)], DOCS)
+    got = {r["source"] for r in cp.near_duplicate_filter(spark, docs, SF).collect()}
+    assert len(got) == 5 and got >= {"1", "4", "6", "8"} and len(got & {"2", "3"}) == 1
+
+
 def test_repeats_are_cut(spark, corpus):
     rows = [(r["doc_id"], r["text"] or "") for r in corpus.collect()]
     want = sorted(str((k, n - gone)) for k, n, gone, _, _ in removal_by_force(rows, 200))
