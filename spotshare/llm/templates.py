@@ -54,23 +54,46 @@ def _headed(values: Column, short: int) -> Column:
     return F.slice(values, F.lit(1), F.greatest(F.size(values) - short, F.lit(0)))
 
 
-def template_windows(texts: DataFrame, keep: list[str], window: int = WINDOW) -> DataFrame:
-    """For each window of ``text``: the columns ``keep``, ``pos``, and ``hash`` of its canonical words.
-
-    A text of fewer words is one window, filled up with empty words.
-    """
+def _windows(rows: DataFrame, keep: list[str], window: int, short: tuple[int, ...]) -> DataFrame:
+    """``keep``, ``size``, ``pos`` and ``hash`` of each run of ``window`` values of the array ``w``, and of each run of a ``short`` length."""
     if window < 2 or window & (window - 1):
         raise ValueError("window: a power of two")
-    words = texts.select(*keep, words_of(F.col("text")).alias("words"))
-    rows = words.select(*keep, F.transform(
-        F.concat("words", F.array_repeat(F.lit(""), F.greatest(F.lit(window) - F.size("words"), F.lit(0)))),
-        lambda w: F.xxhash64(_canonical(w))).alias("w"))
+    if any(not 0 < n < window for n in short):
+        raise ValueError("short: lengths below the window")
+    made = [f"__{n}" for n in sorted(short)]
+    rows = rows.select(*keep, "w", *(F.lit(None).cast("array<bigint>").alias(c) for c in made))
     width = 1
     while width < window:
-        rows = rows.select(*keep, F.zip_with(_headed(F.col("w"), width), _shifted(F.col("w"), width), lambda a, b: F.xxhash64(a, b)).alias("w"))
+        # a short length is the sum of its bits, the lowest first
+        parts = []
+        for c in made:
+            n, done = int(c[2:]), int(c[2:]) & (width - 1)
+            if n & width and done:
+                part = F.zip_with(_headed(F.col(c), width), _shifted(F.col("w"), done), lambda a, b: F.xxhash64(a, b))
+            else:
+                part = F.col("w") if n & width else F.col(c)
+            parts.append(part.alias(c))
+        wider = F.zip_with(_headed(F.col("w"), width), _shifted(F.col("w"), width), lambda a, b: F.xxhash64(a, b))
+        rows = rows.select(*keep, wider.alias("w"), *parts)
         width *= 2
-    # there is always a window; the outer form keeps the planner from copying the whole expression into filters below
-    return rows.select(*keep, F.posexplode_outer("w").alias("pos", "hash"))
+    # there is always a row; the outer form keeps the planner from copying the whole expression into filters below
+    if not made:
+        return rows.select(*keep, F.lit(window).alias("size"), F.posexplode_outer("w").alias("pos", "hash"))
+
+    def placed(size: int, name: str) -> Column:
+        return F.transform(name, lambda h, i: F.struct(F.lit(size).alias("size"), i.alias("pos"), h.alias("hash")))
+
+    every = F.concat(placed(window, "w"), *(placed(int(c[2:]), c) for c in made))
+    return rows.select(*keep, F.explode_outer(every).alias("__at")).select(*keep, "__at.*")
+
+
+def template_windows(texts: DataFrame, keep: list[str], window: int = WINDOW, short: tuple[int, ...] = ()) -> DataFrame:
+    """For each window of ``text``: the columns ``keep``, ``size``, ``pos``, and ``hash`` of its canonical words.
+
+    Windows have ``window`` words, and each of the ``short`` lengths. A text of fewer words has one row without a place.
+    """
+    words = texts.select(*keep, words_of(F.col("text")).alias("words"))
+    return _windows(words.select(*keep, F.transform("words", lambda w: F.xxhash64(_canonical(w))).alias("w")), keep, window, short)
 
 
 def _is_slot(canonical: Column) -> Column:
@@ -84,13 +107,16 @@ def alignments(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, lite
     digest = F.unhex(F.md5(F.col("text").cast("string")))
     items = benchmark.select("item_id", F.col("text").cast("string")).withColumn("item", words_of(F.col("text")))
     items = items.withColumn("kinds", F.transform("item", _canonical)).withColumn("length", F.size("item"))
-    windows = template_windows(items.select("item_id", "kinds", "item", "length", "text"), ["item_id", "kinds", "length"], window)
+    # an item too short for a window is one of its own length
+    short = tuple(r["length"] for r in items.where((F.col("length") > 0) & (F.col("length") < window)).select("length").distinct().collect())
+    windows = template_windows(items.select("item_id", "kinds", "item", "length", "text"), ["item_id", "kinds", "length"], window, short)
+    windows = windows.where(F.col("size") == F.least("length", F.lit(window)))
     literal = F.size(F.filter(F.slice("kinds", F.col("pos") + 1, window), lambda k: ~_is_slot(k)))
     windows = windows.where(literal >= F.least(F.lit(literals), F.col("length"))).where("length > 0").select(
-        "hash", "item_id", F.col("pos").alias("at"), "length")
+        "size", "hash", "item_id", F.col("pos").alias("at"), "length")
     # within a measured bound the items' windows are broadcast; otherwise both sides are shuffled by hash
-    own = template_windows(docs.select(digest.alias("digest"), F.col("text").cast("string")), ["digest"], window)
-    hits = own.join(join_side(windows), "hash").select("digest", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "at", "length")
+    own = template_windows(docs.select(digest.alias("digest"), F.col("text").cast("string")), ["digest"], window, short)
+    hits = own.join(join_side(windows), ["size", "hash"]).select("digest", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "at", "length")
     key = ["digest", "item_id", "shift"]
     # copies of a text repeat its windows
     runs = hits.groupBy(*key, "length").agg(

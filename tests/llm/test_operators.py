@@ -352,6 +352,16 @@ def test_templates_catch_other_parameters(spark, odd, empty):
     assert templates.contaminated(odd, items).count() == 0
 
 
+def test_templates_find_short_items_inside_long_texts(spark):
+    rng = random.Random(13)
+    items = ["What is the capital of France?", "Name that tune", "Who wrote the famous play of Hamlet?", "Gold", "Which two rivers meet here"]
+    rows = [(i, f"{prose(rng, 300)}. {t} {prose(rng, 300)}") for i, t in enumerate(items)] + [(9, prose(rng, 600)), (10, items[0]), (11, "Gold!")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = templates.contaminated(docs, bench).select("doc_id", "item_id").collect()
+    assert by_row(map(tuple, got)) == by_row([*((i, i) for i in range(5)), (10, 0), (11, 3)])
+    assert {r["doc_id"] for r in templates.clean(docs, bench).collect()} == {9}
+
+
 def test_licenses_planted_whole_and_edited(spark, odd, empty):
     rng = random.Random(9)
     grant = licences.TEMPLATES["MIT-grant"]
