@@ -41,11 +41,16 @@ def _canonical(word: Column) -> Column:
     digit = (word >= "0") & (word < ":")
     return (
         F.when(word < "A", F.when(digit, F.when(F.substring(word, -1, 1) < "A", F.lit(_NUMBER)).otherwise(F.lit(_QUANTITY)))
-               .otherwise(F.lower(F.ltrim(word, F.lit(".!? \t\n\r\u000b\f")))))
+               .otherwise(F.lower(_raw(word))))
         .when(F.lower(word) == word, word).when(F.upper(word) == word, F.lower(word)).otherwise(F.lit(_NAME))
     )
 
 
+def _raw(word: Column) -> Column:
+    """The word as it stands, without the sentence end before it."""
+    return F.ltrim(word, F.lit(".!? \t\n\r\u000b\f"))
+
+
 def _shifted(values: Column, by: int) -> Column:
     return F.slice(values, F.lit(by + 1), F.greatest(F.size(values) - by, F.lit(0)))
 
@@ -100,48 +105,90 @@ def _is_slot(canonical: Column) -> Column:
     return canonical.isin(_NUMBER, _QUANTITY, _NAME)
 
 
+def _whole_windows(flags: Column, size: Column) -> Column:
+    """How many runs of ``size`` flags are all true."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size(flags) - size, F.lit(0)))
+    return F.size(F.filter(starts, lambda p: (F.size(F.slice(flags, p + 1, size)) == size) & ~F.array_contains(F.slice(flags, p + 1, size), False)))
+
+
 def alignments(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, literals: int = LITERALS, least: int = LEAST_WINDOWS) -> DataFrame:
     """Texts that hold an item or a long part of it: ``digest`` of the text, ``item_id``, ``shift`` (word of the text where the item
     would start), ``n_windows``, ``n_words`` matched, ``reparameterised`` (some value differs).
+
+    Windows of at least ``literals`` literals find alignments, all windows of an item that has no such one. ``least`` windows of an
+    alignment must match, with or without so many literals, or all of an item that has fewer. An item's first word counts as
+    a sentence's first and as one within a sentence.
     """
     digest = F.unhex(F.md5(F.col("text").cast("string")))
     items = benchmark.select("item_id", F.col("text").cast("string")).withColumn("item", words_of(F.col("text")))
-    items = items.withColumn("kinds", F.transform("item", _canonical)).withColumn("length", F.size("item"))
+    items = items.withColumn("kinds", F.transform("item", _canonical)).withColumn("length", F.size("item")).where("length > 0")
+    # the same, where the first word stands within a sentence
+    items = items.withColumn("inner", F.transform("item", lambda w, i: F.when(i == 0, _canonical(_raw(w))).otherwise(_canonical(w))))
+    items = items.withColumn("size", F.least("length", F.lit(window))).withColumn("enough", F.least(F.lit(least), F.col("length") - F.col("size") + 1))
+
+    def n_literals(kinds: Column) -> Column:
+        return F.size(F.filter(kinds, lambda k: ~_is_slot(k)))
+
+    items = items.withColumn("eligible", F.transform(
+        F.sequence(F.lit(0), F.col("length") - F.col("size")),
+        lambda p: n_literals(F.slice("kinds", p + 1, F.col("size"))) >= F.least(F.lit(literals), F.col("length"))))
+    items = items.withColumn("n_eligible", F.size(F.filter("eligible", lambda e: e)))
     # an item too short for a window is one of its own length
-    short = tuple(r["length"] for r in items.where((F.col("length") > 0) & (F.col("length") < window)).select("length").distinct().collect())
-    windows = template_windows(items.select("item_id", "kinds", "item", "length", "text"), ["item_id", "kinds", "length"], window, short)
+    short = tuple(r["length"] for r in items.where(F.col("length") < window).select("length").distinct().collect())
+    kept = ["item_id", "length", "enough", "eligible", "n_eligible"]
+    windows = items.select(*kept, F.explode(F.array_distinct(F.array("kinds", "inner"))).alias("form"))
+    windows = _windows(windows.select(*kept, F.transform("form", lambda k: F.xxhash64(k)).alias("w")), kept, window, short)
     windows = windows.where(F.col("size") == F.least("length", F.lit(window)))
-    literal = F.size(F.filter(F.slice("kinds", F.col("pos") + 1, window), lambda k: ~_is_slot(k)))
-    windows = windows.where(literal >= F.least(F.lit(literals), F.col("length"))).where("length > 0").select(
-        "size", "hash", "item_id", F.col("pos").alias("at"), "length")
+    windows = windows.where((F.col("n_eligible") == 0) | F.get("eligible", F.col("pos"))).select(
+        "size", "hash", "item_id", F.col("pos").alias("at"), "length",
+        F.when(F.col("n_eligible") == 0, F.col("enough")).otherwise(F.least("enough", "n_eligible")).alias("need")).distinct()
     # within a measured bound the items' windows are broadcast; otherwise both sides are shuffled by hash
     own = template_windows(docs.select(digest.alias("digest"), F.col("text").cast("string")), ["digest"], window, short)
-    hits = own.join(join_side(windows), ["size", "hash"]).select("digest", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "at", "length")
+    hits = own.join(join_side(windows), ["size", "hash"]).select("digest", "item_id", (F.col("pos") - F.col("at")).alias("shift"), "at", "length", "need")
     key = ["digest", "item_id", "shift"]
     # copies of a text repeat its windows
-    runs = hits.groupBy(*key, "length").agg(
+    runs = hits.groupBy(*key, "length", "need").agg(
         F.size(F.collect_set("at")).alias("n_windows"), F.min("at").alias("first"), (F.max("at") + window).alias("last"),
-    ).where(F.col("n_windows") >= F.least(F.lit(least), F.greatest(F.col("length") - window + 1, F.lit(1))))
+    ).where(F.col("n_windows") >= F.col("need")).drop("need")
     runs = write_stage(runs.withColumn("last", F.least("last", "length")), "alignments")
     # only texts with an alignment are read again, for the values in the placeholders
     found = docs.select(digest.alias("digest"), F.col("text").cast("string")).join(join_side(runs.select("digest").distinct()), "digest")
     found = found.groupBy("digest").agg(F.first("text").alias("text")).select("digest", words_of(F.col("text")).alias("doc"))
-    both = runs.join(found, "digest").join(join_side(items.select("item_id", "item")), "item_id")
+    sides = items.select("item_id", "item", "kinds", "inner", "size", "enough", "n_eligible")
+    both = runs.join(found, "digest").join(join_side(sides), "item_id")
+    # where too few windows have literals, the others are looked at too: all of the item that the text can hold
+    sparse = F.col("n_eligible") < F.col("enough")
+    both = both.withColumn("first", F.when(sparse, F.greatest(F.lit(0), -F.col("shift"))).otherwise(F.col("first")))
+    both = both.withColumn("last", F.when(sparse, F.least(F.col("length"), F.size("doc") - F.col("shift"))).otherwise(F.col("last")))
     span = F.col("last") - F.col("first")
+    # a first word may be another name in the text only where the rest says enough
+    named = n_literals(F.col("inner")) >= F.least(F.lit(literals), F.col("length"))
 
     def part(words: str, start: Column) -> Column:
-        return F.transform(F.slice(words, start + 1, span), lambda w: F.struct(w.alias("w"), _canonical(w).alias("k")))
+        return F.slice(words, start + 1, span)
+
+    words = F.zip_with(
+        F.arrays_zip(part("item", F.col("first")).alias("w"), part("kinds", F.col("first")).alias("k"), part("inner", F.col("first")).alias("m")),
+        F.transform(part("doc", F.col("shift") + F.col("first")), lambda w: F.struct(w.alias("w"), _canonical(w).alias("k"))),
+        lambda i, d: F.struct(
+            _raw(i["w"]).alias("item"), _raw(d["w"]).alias("doc"), ((i["k"] == d["k"]) | ((i["m"] == d["k"]) & named)).alias("kind"), _is_slot(d["k"]).alias("slot")))
+    both = both.select(*key, "n_windows", "size", "enough", "n_eligible", "length", n_literals(F.col("kinds")).alias("n_literals"), span.alias("n_words"), words.alias("words"))
+
+    def same(p: Column) -> Column:
+        return F.lower(p["item"]) == F.lower(p["doc"])
 
     # a part between two matched windows may differ; it has no values to compare
     pairs = F.array_distinct(F.transform(
-        F.filter(
-            F.zip_with(part("item", F.col("first")), part("doc", F.greatest(F.col("shift") + F.col("first"), F.lit(0))),
-                       lambda i, d: F.struct(i.alias("i"), d.alias("d"))),
-            lambda p: (p["i"]["k"] == p["d"]["k"]) & _is_slot(p["i"]["k"])),
-        lambda p: F.struct(p["i"]["w"].alias("item"), p["d"]["w"].alias("doc"))))
-    both = both.select(*key, "n_windows", span.alias("n_words"), pairs.alias("pairs"))
+        F.filter("words", lambda p: p["kind"] & p["slot"]), lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc"))))
+    both = both.select(
+        *key, "n_windows", "n_words", "enough", "n_eligible", "length", "n_literals", pairs.alias("pairs"),
+        _whole_windows(F.transform("words", lambda p: p["kind"] | same(p)), F.col("size")).alias("n_alike"),
+        _whole_windows(F.transform("words", same), F.col("size")).alias("n_same"))
     both = both.withColumn("item_values", F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))))
-    return both.where(F.size("pairs") == F.col("item_values")).select(
+    # an item of mostly values says too little without them
+    consistent = (F.size("pairs") == F.col("item_values")) & ((F.col("n_eligible") > 0) | (2 * F.col("n_literals") >= F.col("length")))
+    equal = (F.col("n_eligible") == 0) & (F.col("n_same") >= F.col("enough"))
+    return both.where((F.col("n_alike") >= F.col("enough")) & (consistent | equal)).select(
         *key, "n_windows", "n_words", F.exists("pairs", lambda p: p["item"] != p["doc"]).alias("reparameterised"))
 
 
@@ -149,7 +196,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
     """Pairs of ``doc_id`` and ``item_id``, with the longest alignment of each: ``shift``, ``n_windows``, ``n_words``,
     ``reparameterised``. Documents without a benchmark passage don't appear.
 
-    A pair needs ``least`` template windows in one alignment, or all of an item too short for that, with consistent values.
+    A pair needs ``least`` template windows in one alignment, or all of an item too short for that, with consistent values. An item
+    whose windows all lack literals and whose words are mostly values needs them equal in raw words.
     NULL and empty texts, on either side, match nothing; repeated rows give repeated pairs, a NULL id stays NULL; items with
     equal texts each match. Other columns are not read. Very long texts are read whole.
     """

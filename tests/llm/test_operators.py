@@ -362,6 +362,21 @@ def test_templates_find_short_items_inside_long_texts(spark):
     assert {r["doc_id"] for r in templates.clean(docs, bench).collect()} == {9}
 
 
+def test_templates_find_items_with_few_literals(spark):
+    items = [
+        "Add 3 and 5 then 7 and 9 more now", "Add 3 and 5 then 7 and 9", "Compute 4 7 19 22 8 1 5 6 2", "Meet Anna Bob Carl Dora Emil Fritz Gerda Hans",
+        "Tell me how many days one year has", "12 + 7 = ?",
+    ]
+    around = "so we were asked to do this by them"
+    rows = [(i, f"{around}: {t} {around}") for i, t in enumerate(items)] + [(10 + i, f"{around}. {t}\n{around}") for i, t in enumerate(items)]
+    rows += [(20, f"{around}. Add 13 and 15 then 17 and 19 {around}"), (21, f"{around}. Add 13 and 15 then 17 or 19 more now"),
+             (22, f"{around}. Compute 5 8 20 23 9 2 6 7 3 {around}"), (23, f"{around}. Meet Ida Jan Karl Lars Max Nina Otto Paul")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in templates.contaminated(docs, bench).collect()}
+    # the second item is the head of the first
+    assert got == {(i + k, i) for i in range(6) for k in (0, 10)} | {(0, 1), (10, 1), (20, 1)}
+
+
 def test_licenses_planted_whole_and_edited(spark, odd, empty):
     rng = random.Random(9)
     grant = licences.TEMPLATES["MIT-grant"]
