@@ -2,7 +2,8 @@
 
 Numbers, names and units of a text become typed placeholders. Windows of the canonical words are hash-joined with those of the
 benchmark's items, so a question is found even if it was asked again with other parameters. The values that stood in the
-placeholders must then map one to one: an item's value has the same value in the document wherever it occurs.
+placeholders must then map one to one: an item's value has the same value in the document wherever it occurs. Where enough
+windows are equal in raw words, values edited elsewhere don't matter.
 """
 
 from __future__ import annotations
@@ -187,7 +188,8 @@ def alignments(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, lite
     both = both.withColumn("item_values", F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))))
     # an item of mostly values says too little without them
     consistent = (F.size("pairs") == F.col("item_values")) & ((F.col("n_eligible") > 0) | (2 * F.col("n_literals") >= F.col("length")))
-    equal = (F.col("n_eligible") == 0) & (F.col("n_same") >= F.col("enough"))
+    # windows that are equal in raw words need no values, whatever was edited elsewhere
+    equal = F.col("n_same") >= F.col("enough")
     return both.where((F.col("n_alike") >= F.col("enough")) & (consistent | equal)).select(
         *key, "n_windows", "n_words", F.exists("pairs", lambda p: p["item"] != p["doc"]).alias("reparameterised"))
 
@@ -196,8 +198,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
     """Pairs of ``doc_id`` and ``item_id``, with the longest alignment of each: ``shift``, ``n_windows``, ``n_words``,
     ``reparameterised``. Documents without a benchmark passage don't appear.
 
-    A pair needs ``least`` template windows in one alignment, or all of an item too short for that, with consistent values. An item
-    whose windows all lack literals and whose words are mostly values needs them equal in raw words.
+    A pair needs ``least`` template windows in one alignment, or all of an item too short for that, with consistent values or
+    equal in raw words. An item whose windows all lack literals and whose words are mostly values needs them equal in raw words.
     NULL and empty texts, on either side, match nothing; repeated rows give repeated pairs, a NULL id stays NULL; items with
     equal texts each match. Other columns are not read. Very long texts are read whole.
     """

@@ -377,6 +377,18 @@ def test_templates_find_items_with_few_literals(spark):
     assert got == {(i + k, i) for i in range(6) for k in (0, 10)} | {(0, 1), (10, 1), (20, 1)}
 
 
+def test_templates_find_passages_with_one_edited_value(spark):
+    rng = random.Random(14)
+    item = f"A tank of 40 litres {prose(rng, 60)} in the tank of 40 litres {prose(rng, 30)} with Anna and again 40 litres"
+    edited = item[: item.rindex("40")] + "41 litres"
+    other = edited.replace("40", "50", 1).replace(" of ", " by ")
+    far = " ".join(w if i % 8 else "else" for i, w in enumerate(item.split()))
+    docs = spark.createDataFrame([(1, edited), (2, other), (3, far), (4, prose(rng, 100))], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r["doc_id"]: r["reparameterised"] for r in templates.contaminated(docs, bench).collect()}
+    assert got == {1: True, 2: True}
+
+
 def test_licenses_planted_whole_and_edited(spark, odd, empty):
     rng = random.Random(9)
     grant = licences.TEMPLATES["MIT-grant"]
