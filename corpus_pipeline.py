@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from spotshare.llm import bpe, quality, simhash, suffixes, templates
 from spotshare.llm.common import table
@@ -39,6 +39,23 @@ def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return own.join(join_side(firsts), "__row", "left_semi").select(*(f"`{c}`" for c in docs.columns))
 
 
+def _whole_characters(content: Column, spans: Column) -> Column:
+    """The UTF-8 ``content`` without the spans (start, end), each widened to the borders of the characters it cuts."""
+    def inside(at: Column) -> Column:
+        byte = F.hex(F.substring(content, at + 1, F.lit(1)))
+        return (byte >= "80") & (byte < "C0")
+
+    def to_border(at: Column, step: int) -> Column:
+        steps = F.lit(3)
+        for k in (2, 1, 0):
+            steps = F.when(inside(at + step * k), steps).otherwise(F.lit(k))
+        return at + step * steps
+
+    ends = F.concat(F.transform(spans, lambda s: to_border(s[0], -1)), F.array(F.octet_length(content)))
+    starts = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: to_border(s[1], 1)))
+    return F.array_join(F.zip_with(starts, ends, lambda a, b: F.substring(content, a + 1, F.greatest(b - a, F.lit(0))).cast("string")), "")
+
+
 def repeat_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts every byte run that a string of 200 bytes covers which also stands elsewhere; all rows stay, n_chars follows.
 
@@ -46,8 +63,7 @@ def repeat_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     done = suffixes.remove_repeats(docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")))
     changed = F.size("spans") > 0
-    left = F.col("kept").cast("string")
-    left = F.when(F.is_valid_utf8(left), left).otherwise(F.regexp_replace(F.make_valid_utf8(left), "\ufffd", ""))
+    left = _whole_characters(F.col("text").cast("binary"), F.col("spans"))
     done = done.withColumn("text", F.when(changed, left).otherwise(F.col("text")))
     length = F.when(changed, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))
     return done.select(*({"text": F.col("text"), "n_chars": length.alias("n_chars")}.get(c, F.col(f"row.`{c}`")) for c in docs.columns))

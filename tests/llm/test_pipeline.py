@@ -45,6 +45,16 @@ def test_repeats_are_cut(spark, corpus):
     assert sorted(str((r["doc_id"], len((r["text"] or "").encode()))) for r in got.collect()) == want
 
 
+def test_repeats_keep_replacement_characters_of_the_text(spark):
+    rng = random.Random(13)
+    line = " ".join(str(rng.random()) for _ in range(30))
+    # the first byte of \u4e2d and \u4e00 is the same, the last one of \u6f22 and \u5b22 too: a repeat cuts into these characters
+    rows = [(1, f"one \ufffd two \u6f22{line}\u4e2d\ufffd end"), (2, f"other \u5b22{line}\u4e00 tail \ufffd")]
+    docs = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in rows], DOCS)
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in cp.repeat_filter(spark, docs, SF).collect()}
+    assert got == {1: ("one \ufffd two \ufffd end", 15), 2: ("other  tail \ufffd", 13)}
+
+
 def test_stages_run_on_an_empty_table(spark, corpus):
     for _, stage in cp.STAGES:
         assert stage(spark, corpus.limit(0), SF).count() == 0
