@@ -125,9 +125,13 @@ class Licenses:
             slack = len(own) // 8  # room for words put in
             first = max(0, start - slack)
             region = shingles[first : max(0, start + len(own) + slack)]
-            hit = np.flatnonzero(np.isin(region, own))
             share = len(np.intersect1d(region, own)) / len(np.unique(own))
             if share >= CONTAINED:
+                # the notice ends with its own shingles near their places, not with those of a neighbour in the slack
+                apart = np.arange(first - start, first - start + len(region))[:, None] - np.arange(len(own))
+                same = region[:, None] == own
+                placed = same & (np.abs(apart) <= max(slack, 1))
+                hit = np.flatnonzero((placed if placed.any() else same).any(1))
                 found.append((licence, first + int(hit[0]), first + int(hit[-1]), share))
         found.sort(key=lambda f: (-f[3], -len(self.shingles[f[0]]), f[1], f[0]))
         taken: list[tuple[int, int, int, float]] = []

@@ -402,6 +402,14 @@ def test_licenses_planted_whole_and_edited(spark, odd, empty):
     assert licences.scan(empty).count() == 0 and licences.scan(odd).count() == 0 and licences.scan(docs, {}).count() == 0
 
 
+def test_licenses_standing_back_to_back(spark):
+    names = ["MIT-grant", "GPL-header", "BSD-conditions", "Apache-2.0-header", "CC-BY-4.0-notice"]
+    rows = [(i, " ".join([licences.TEMPLATES[n]] * 4)) for i, n in enumerate(names)]
+    rows += [(10, " ".join(licences.TEMPLATES[n] for n in names)), (11, " ".join(licences.TEMPLATES[n] for n in reversed(names)))]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "license").collect()
+    assert by_row(map(tuple, got)) == by_row([(i, n) for i, n in enumerate(names) for _ in range(4)] + [(k, n) for k in (10, 11) for n in names])
+
+
 def test_license_rows_equal_a_text_search(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     notices = {n: t.lower().rstrip(".") for n, t in licences.TEMPLATES.items() if len(t) < 80}
