@@ -262,6 +262,18 @@ def test_rules_equal_a_loop_and_any_order(odd, empty):
     assert rules.judge(empty).count() == 0
 
 
+def test_rules_are_ordered_by_their_own_cost(spark):
+    rng = random.Random(15)
+    docs = spark.createDataFrame([(i, prose(rng, 60)) for i in range(400)], "doc_id long, text string")
+    cheap = rules.Rule("cheap", "n_words > 50")
+    costly = rules.Rule("costly", "length(regexp_replace(repeat(text, 30), '[^A-Z]', '')) < 1 AND n_words > 50")
+    for listed in ((cheap, costly), (costly, cheap)):
+        part = rules.measured(docs)
+        a, b = rules._costs(part, listed)
+        assert (a < b) == (listed[0] is cheap) and max(a, b) > 3 * min(a, b)
+        assert [r.name for r in rules.order_rules(docs, listed)] == ["cheap", "costly"]
+
+
 def test_urls_equal_plain_rules(spark):
     import fnmatch
     import re
