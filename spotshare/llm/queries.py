@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spotshare.llm import bpe, licences, quality, rules, sharding, simhash, suffixes, templates, toxicity, urls
+from spotshare.llm import bpe, licences, pieces, quality, rules, sharding, simhash, suffixes, templates, toxicity, urls
 from spotshare.llm.common import bucket_of_id, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,9 +63,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_toxicity, op3_quality_rules, op4_url_filter, op5_hilbert_shards, op6_benchmark_templates, op7_suffix_dedup,
-    op8_simhash, op9_quality_classifier, op10_byte_bpe)}
+    op8_simhash, op9_quality_classifier, op10_byte_bpe, op13_sentencepiece)}
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
