@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spotshare.llm import bpe, licences, pieces, quality, rules, sharding, simhash, suffixes, templates, toxicity, urls
+from spotshare.llm import bpe, conversations, licences, pieces, quality, rules, sharding, simhash, suffixes, templates, toxicity, urls
 from spotshare.llm.common import bucket_of_id, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -63,13 +63,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_toxicity, op3_quality_rules, op4_url_filter, op5_hilbert_shards, op6_benchmark_templates, op7_suffix_dedup,
-    op8_simhash, op9_quality_classifier, op10_byte_bpe, op13_sentencepiece)}
+    op8_simhash, op9_quality_classifier, op10_byte_bpe, op11_conversation_trie,
+    op13_sentencepiece)}
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
@@ -115,4 +120,39 @@ SELECT page_id, host, path, rule, coalesce(action, CASE WHEN
     OR regexp_matches(path, '(?s)^/(.*/)?ads/|^/.*\.exe$|^/.*\.zip$|^/(.*/)?login|^/cart|^/wp-admin/|^/.*\.php.\.bak$')
     OR host LIKE '%.onion' AND starts_with(path, '/') THEN 'block' ELSE 'allow' END) AS verdict
 FROM ids LEFT JOIN fits USING (row)""",
+    "op11_conversation_trie": r"""
+WITH RECURSIVE bits(n, step, v) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT n, step + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE step < 8),
+crcs AS (SELECT list(v ORDER BY n) AS of_byte FROM bits WHERE step = 8),
+said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT *, md5(strlen(role)::VARCHAR || ':' || role || text) AS turn_key,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(role)::VARCHAR || ':' || role || text)) AS nth
+  FROM said),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce(list_prepend(4294967295, [ord(c)::BIGINT FOR c IN string_split(conv_id::VARCHAR, '')]),
+                         lambda crc, byte: xor(crc >> 8, of_byte[(xor(crc, byte) & 255) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM said), crcs),
+built AS (
+  SELECT c.conv_id, o.nth - 4 AS nth, o.text, o.turn_key FROM convs c JOIN own o ON o.conv_id = c.base AND o.nth <= c.h
+  UNION ALL SELECT c.conv_id, o.nth, o.text, o.turn_key FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.nth > c.h),
+prefixes AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(turn_key, '') OVER w AS node,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM built WINDOW w AS (PARTITION BY conv_id ORDER BY nth ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs),
+lasts AS (SELECT conv_id, arg_max(node, depth) AS node FROM prefixes GROUP BY conv_id),
+ends AS (SELECT node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM lasts GROUP BY node),
+nodes AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM prefixes GROUP BY node, depth),
+grown AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND starts_with(c.node, n.node)) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND starts_with(n.node, p.node)),
+sums AS (
+  SELECT u.node, count(*) FILTER (v.n_children = 0) AS n_leaves, sum((v.n_convs - 1) * v.words) AS saved_tokens
+  FROM grown u JOIN grown v ON starts_with(v.node, u.node) GROUP BY u.node)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM grown JOIN sums USING (node) LEFT JOIN ends USING (node)""",
 }
