@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spotshare.llm import bpe, conversations, licences, pieces, quality, rules, sharding, simhash, suffixes, templates, toxicity, urls
+from spotshare.llm import bpe, conversations, licences, pieces, quality, ranking, rules, sharding, simhash, suffixes, templates, toxicity, urls
 from spotshare.llm.common import bucket_of_id, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -67,6 +67,11 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.prefix_trie(table(spark, sf_dir, "conversations")).drop("node", "parent")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranking.build_index(table(spark, sf_dir, "documents"))
+    return ranking.search(index, table(spark, sf_dir, "benchmark"), 20)
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
@@ -74,7 +79,7 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_toxicity, op3_quality_rules, op4_url_filter, op5_hilbert_shards, op6_benchmark_templates, op7_suffix_dedup,
     op8_simhash, op9_quality_classifier, op10_byte_bpe, op11_conversation_trie,
-    op13_sentencepiece)}
+    op12_ranked_search, op13_sentencepiece)}
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
@@ -155,4 +160,27 @@ sums AS (
 SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
        n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
 FROM grown JOIN sums USING (node) LEFT JOIN ends USING (node)""",
+    "op12_ranked_search": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+held AS (SELECT row, doc_id, terms, len(terms)::BIGINT AS n FROM docs WHERE len(terms) > 0),
+stats AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM held),
+counts AS (SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(terms) AS term FROM held) GROUP BY row, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM counts, stats GROUP BY term),
+items AS (
+  SELECT row_number() OVER () AS item, item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM benchmark),
+asked AS (SELECT item, item_id, term, count(*)::BIGINT AS times FROM (SELECT item, item_id, unnest(terms) AS term FROM items) GROUP BY item, item_id, term),
+scored AS (
+  SELECT item, any_value(item_id) AS item_id, row, any_value(doc_id) AS doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN counts USING (term) JOIN held USING (row), stats GROUP BY item, row),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20""",
 }
