@@ -376,14 +376,14 @@ def object_operation(spark, sf):
 _BY_MONTH = """SELECT o_orderkey, o_custkey, CAST(floor(o_totalprice) AS BIGINT) AS price, substring(CAST(o_orderdate AS STRING), 1, 7) AS month FROM orders"""
 _RAISED = f"""SELECT o_orderkey, o_custkey, price + 100 AS price, month FROM ({_BY_MONTH}) m WHERE month IN ('1995-03', '1996-07') AND o_orderkey % 2 = 0
   UNION ALL SELECT o_orderkey + 1000000000, o_custkey, price, '1999-02' FROM ({_BY_MONTH}) m WHERE month = '1997-01' AND o_custkey % 5 = 0"""
-_MOVED = f"SELECT o_orderkey, '1999-02' AS month FROM ({_BY_MONTH}) m WHERE month = '1993-05' AND o_orderkey % 3 = 0"
+_MOVED = f"SELECT o_orderkey, '1999-02' AS month FROM ({_BY_MONTH}) m WHERE month = '1995-05' AND o_orderkey % 2 = 1"
 
 
 @query("stored_batches", f"""WITH base AS ({_BY_MONTH}), raised AS ({_RAISED}), moved AS ({_MOVED}),
   first AS (SELECT coalesce(r.o_orderkey, b.o_orderkey) AS o_orderkey, coalesce(r.o_custkey, b.o_custkey) AS o_custkey,
     coalesce(r.price, b.price) AS price, coalesce(r.month, b.month) AS month FROM base b FULL JOIN raised r ON b.o_orderkey = r.o_orderkey),
   second AS (SELECT f.o_orderkey, o_custkey, price, coalesce(m.month, f.month) AS month FROM first f LEFT JOIN moved m ON f.o_orderkey = m.o_orderkey)
-  SELECT *, CASE WHEN month IN ('1993-05', '1999-02') THEN 'moved' WHEN month IN ('1995-03', '1996-07') THEN 'raised' ELSE 'base' END AS file_of FROM second""")
+  SELECT *, CASE WHEN month IN ('1995-05', '1999-02') THEN 'moved' WHEN month IN ('1995-03', '1996-07') THEN 'raised' ELSE 'base' END AS file_of FROM second""")
 def stored_batches(spark, sf):
     """Two batches applied to a table kept by month, one of them three times; files that no batch touches are those of the first load."""
     table(spark, sf, "orders").createOrReplaceTempView("orders")
