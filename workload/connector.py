@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from spotshare.functions.csvtext import csv_header, csv_row
 from spotshare.functions.temporal import current_month
 from spotshare.operators import conform as conform_ops, infer, merge, paging, sizing, status
 from spotshare.plans.staging import new_folder
-from spotshare.sources import connector, export, records, stored, tables
+from spotshare.sources import connector, dataset, export, records, stored, tables
 from workload.share import query
 from workload.views import TABLES, table, view
 
@@ -394,6 +395,70 @@ def stored_batches(spark, sf):
     return stored.read(spark, path).withColumn("file_of", F.regexp_extract("_metadata.file_name", "^[a-z]+", 0))
 
 
+_CHAIN = "SELECT c_custkey, c_name, CAST(floor(c_acctbal) AS BIGINT) AS balance FROM customer"
+
+
+@query("dataset_chain", f"""WITH base AS ({_CHAIN}),
+  raised AS (SELECT c_custkey, c_name, balance + 1000 AS balance FROM base WHERE c_custkey % 3 = 0
+    UNION ALL SELECT c_custkey + 1000000000, c_name, balance FROM base WHERE c_custkey % 7 = 0)
+  SELECT * FROM base WHERE c_custkey % 3 <> 0 AND c_custkey % 2 = 0 UNION ALL SELECT * FROM base WHERE c_custkey % 3 <> 0 AND c_custkey % 5 = 0
+  UNION ALL SELECT * FROM raised UNION ALL SELECT c_custkey, 'after', balance FROM base WHERE c_custkey % 11 = 0""")
+def dataset_chain(spark, sf):
+    """Uploads that are replaced, added to, upserted and added to again, one of them sent twice and one that fails, after all of them."""
+    dataset.register(spark)
+    table(spark, sf, "customer").createOrReplaceTempView("customer")
+    base = spark.sql(_CHAIN)
+    new = base.where("c_custkey % 7 = 0").withColumn("c_custkey", F.col("c_custkey") + 1000000000)
+    raised = base.where("c_custkey % 3 = 0").withColumn("balance", F.col("balance") + 1000).unionByName(new)
+    path = new_folder(spark, "uploads")
+
+    def upload(rows, mode="append", **options):
+        rows.write.format(dataset.NAME).mode(mode).options(path=path, **options).save()
+
+    upload(base.withColumn("c_name", F.lit("replaced")))
+    upload(base.where("c_custkey % 2 = 0"), "overwrite")
+    upload(base.where("c_custkey % 5 = 0"))
+    for _ in range(2):
+        upload(raised, operation="upsert", key="c_custkey", upload="raised")
+    upload(base.where("c_custkey % 11 = 0").withColumn("c_name", F.lit("after")))
+    _broken_upload(base, path)
+    return dataset.resolved(spark, path)
+
+
+def _broken_upload(rows: DataFrame, path: str) -> None:
+    """An upload that fails at one of its rows, after others may have been written."""
+    first = rows.agg(F.max("c_custkey")).scalar()
+    broken = rows.withColumn("c_name", F.when(F.col("c_custkey") == first, F.raise_error(F.lit("broken record")).cast("string")).otherwise("never"))
+    try:
+        broken.write.format(dataset.NAME).mode("append").options(path=path, upload="broken").save()
+    except PySparkException as error:
+        if "broken record" not in str(error):
+            raise
+
+
+@query("dataset_source", "SELECT doc_id, text, lang, n_chars FROM documents WHERE doc_id BETWEEN 20 AND 120")
+def dataset_source(spark, sf):
+    """Documents through the data source and back, in parts of 64 KiB, of which only those that may hold the asked ids are read."""
+    dataset.register(spark)
+    path = new_folder(spark, "uploads")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    docs.write.format(dataset.NAME).mode("append").options(path=path, maxBytes=65536).save()
+    return dataset.rows_between(spark, path, "doc_id", 20, 120)
+
+
+@query("upload_verdicts", """SELECT 'whole' AS upload, true AS committed, true AS ok, count(*) AS n_rows FROM customer
+  UNION ALL SELECT 'partly empty', true, true, count(*) FROM customer WHERE c_custkey < 10 UNION ALL SELECT 'broken', false, false, 0""")
+def upload_verdicts(spark, sf):
+    """The folded outcomes of real writes: a failing task turns the verdict, tasks without rows don't."""
+    dataset.register(spark)
+    table(spark, sf, "customer").createOrReplaceTempView("customer")
+    rows, path = spark.sql(_CHAIN), new_folder(spark, "uploads")
+    for name, part in (("whole", rows.repartition(4)), ("partly empty", rows.where("c_custkey < 10").repartition(4, "c_custkey"))):
+        part.write.format(dataset.NAME).mode("append").options(path=path, upload=name).save()
+    _broken_upload(rows, path)
+    return dataset.verdicts(spark, path)
+
+
 @query("register_view", "SELECT * FROM supplier")
 def register_view(spark, sf):
     return spark.table(tables.register_view(table(spark, sf, "supplier"), "registered_supplier"))
