@@ -1,6 +1,6 @@
 """Ranked lexical search by Block-Max MaxScore over shards of documents.
 
-An index is a table of posting lists: for each shard (some tens of MB of texts that one task has read) and each term the places
+An index is a table of posting lists: for each shard (8 MB of texts that one task has read) and each term the places
 of its documents and counts, in blocks of 128 packed to the fewest bytes. Beside a block stand its last document and the
 counts and lengths that no other posting of it beats, which give the block's largest impact under any corpus statistics. A
 search visits the lists of a query from the largest global bound down; once those left can't lift a document above the score
@@ -23,7 +23,7 @@ from spotshare.plans.staging import join_side, write_stage
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _CLASSES = byte_classes(term=DIGITS + bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)))
-SHARD_BYTES = 1 << 25
+SHARD_BYTES = 1 << 23
 BLOCK = 128
 QUERY_TERMS = 500_000  # terms of queries that one job searches together
 _HEADER = np.dtype([("last", "<i4"), ("data", "<i4"), ("front", "<i4"), ("count", "u1"), ("widths", "u1")])
@@ -72,19 +72,20 @@ class _Shard:
                     self.names[h] = part[owner[k]][start[k] : end[k]]
             low, width = int(doc[0]), int(doc[-1] - doc[0]) + 1
             key, tf = np.unique(number * width + doc - low, return_counts=True)
-            self.parts.append((distinct[key // width], key % width + low, tf))
+            self.parts.append((distinct[key // width], (key % width + low).astype(np.int32), tf.astype(np.int32)))
 
     def rows(self, shard: int) -> Iterator[pa.RecordBatch]:
         """The rows of the index: one for the documents (term NULL), one for each term."""
         if not self.parts:
             return
         term, doc, tf = (np.concatenate(x) for x in zip(*self.parts))
+        self.parts = []
         distinct, term = np.unique(term, return_inverse=True)
         # parts of one long text may repeat a posting
         order = np.lexsort((doc, term))
         term, doc, tf = term[order], doc[order], tf[order]
         new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])])
-        term, doc, tf = term[new], doc[new], np.add.reduceat(tf, new)
+        term, doc, tf = term[new], doc[new].astype(np.int64), np.add.reduceat(tf, new, dtype=np.int64)
         lengths = np.bincount(doc, weights=tf, minlength=len(self.ids)).astype(np.int64)
         held = np.flatnonzero(lengths)
         doc, lengths, ids = (np.cumsum(lengths > 0) - 1)[doc], lengths[held], [self.ids[i] for i in held.tolist()]
