@@ -28,6 +28,14 @@ def write_stage(df: DataFrame, kind: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` in a checkpoint in the shared folder, computed once; unlike a stage that is read back it keeps its partitions."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def _width(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StructType):
         total = F.lit(8)

@@ -4,22 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spotshare.functions.csvtext import csv_row
 from spotshare.operators.sizing import MAX_BUNDLE_BYTES, size_repartition
+from spotshare.sources import files
 from spotshare.sources.metadata import dataset_metadata
 
 
 def _text(spark: SparkSession, path: str) -> str | None:
     """The text stored at ``path``, None if there is none."""
-    try:
-        found = spark.read.text(path, wholetext=True).first()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not files.listed(spark, path):
         return None
+    found = spark.read.text(path, wholetext=True).first()
     return found and found["value"].rstrip("\n")
 
 

@@ -325,3 +325,16 @@ def test_shared_folder():
     warehouse = {"spark_sql_warehouse_dir": "/w/house"}
     assert staging.shared_folder(_Session(spark_checkpoint_dir="hdfs:///shared/", **warehouse)) == "hdfs:///shared"
     assert staging.shared_folder(_Session(**warehouse)) == "/w/house"
+
+
+def test_bundles_shrink_without_a_shuffle(spark):
+    df = spark.range(0, 4000, 1, 16).withColumn("x", F.expr("repeat('a', 20)")).withColumn("nothing", F.lit(None))
+    few = sizing.size_repartition(df, 40_000)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Range (" not in plan and "Coalesce" in plan
+    assert few.rdd.getNumPartitions() == sizing.bundle_count(sizing.table_size(df).first()["n_bytes"], 40_000) > 1
+    many = sizing.size_repartition(df, 1000)
+    assert "Exchange" in many._jdf.queryExecution().executedPlan().toString() and many.rdd.getNumPartitions() > 60
+    assert few.count() == many.count() == 4000
+    drawn = sizing.size_repartition(df.withColumn("r", F.rand()), 40_000)
+    assert sorted(drawn.collect()) == sorted(drawn.collect())

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from spotshare.functions.csvtext import csv_header, csv_row
 from spotshare.functions.temporal import current_month
 from spotshare.operators import conform as conform_ops, infer, merge, paging, sizing, status
+from spotshare.plans import chunks
 from spotshare.plans.staging import new_folder
 from spotshare.sources import connector, dataset, export, records, stored, tables
 from workload.share import query
@@ -252,6 +253,23 @@ def key_chunks(spark, sf):
     return paging.chunk_ranges(table(spark, sf, "orders"), "o_orderkey", 2500)
 
 
+# Keys with quadratic gaps, of which one holds a third of all rows and some are missing.
+_SKEWED = """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 777 WHEN o_orderkey % 101 = 1 THEN NULL ELSE o_orderkey * o_orderkey END AS skewed FROM orders"""
+
+
+@query("depth_chunks", f"""WITH s AS ({_SKEWED}) SELECT o_orderkey, skewed, true AS balanced FROM s""")
+def depth_chunks(spark, sf):
+    """A skewed table extracted in eight or nine chunks, twice; each row with whether its chunk is within a tenth of the mean, or smaller."""
+    table(spark, sf, "orders").createOrReplaceTempView("orders")
+    rows, path = spark.sql(_SKEWED), new_folder(spark, "chunks")
+    size = rows.count() // 8 + 1
+    for _ in range(2):
+        chunks.extract(rows, "skewed", size, path)
+    found = chunks.read(spark, path, rows.schema)
+    held = found.groupBy("chunk_id").agg((F.count(F.lit(1)) <= 1.1 * size).alias("balanced"))
+    return found.join(held, "chunk_id").drop("chunk_id")
+
+
 # -- CSV -----------------------------------------------------------------------------------------------------------
 
 
@@ -315,6 +333,17 @@ def size_partitions(spark, sf):
     return parts.agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_parts"))
 
 
+@query("bundle_bound", f"""SELECT count(*) AS n_rows, true AS bounded, CAST(sum(strlen({_DOC_ROW}) + 1) AS BIGINT) >= 131072 AS many FROM documents""")
+def bundle_bound(spark, sf):
+    """Documents put together to bundles of 128 KiB and uploaded as parts: none is over the bound unless it is one row."""
+    dataset.register(spark)
+    path = new_folder(spark, "uploads")
+    docs = table(spark, sf, "documents").repartition(40)
+    sizing.size_repartition(docs, 131072).write.format(dataset.NAME).mode("append").options(path=path, maxBytes=131072).save()
+    parts = spark.createDataFrame([(p["rows"], p["bytes"]) for m in dataset.manifests(path) for p in m["parts"]], "rows BIGINT, bytes BIGINT")
+    return parts.agg(F.sum("rows").alias("n_rows"), F.bool_and(F.expr("bytes <= 131072 OR rows = 1")).alias("bounded"), (F.count(F.lit(1)) > 1).alias("many"))
+
+
 @query("csv_header", "SELECT 'doc_id,text,lang,source,n_chars' AS header, count(*) AS n_rows FROM documents")
 def csv_header_query(spark, sf):
     docs = table(spark, sf, "documents")
