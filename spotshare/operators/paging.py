@@ -13,7 +13,7 @@ _SHIFT = 33
 SHALLOW_ROWS = 10_000
 
 
-def _total_order(df: DataFrame, order_by: Sequence[str | Column]) -> list[str | Column]:
+def total_order(df: DataFrame, order_by: Sequence[str | Column]) -> list[str | Column]:
     return [*order_by, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
 
 
@@ -24,7 +24,7 @@ def positioned(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
     the partition counts. No task sees more than its own range of keys; rows with equal keys are ranged by a hash of
     the whole row, so that a hot key is spread as well.
     """
-    staged = write_stage(df.orderBy(*_total_order(df, order_by)).withColumn("__id", F.monotonically_increasing_id()), "sorted")
+    staged = write_stage(df.orderBy(*total_order(df, order_by)).withColumn("__id", F.monotonically_increasing_id()), "sorted")
     part = F.shiftrightunsigned("__id", _SHIFT)
     counts = staged.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
     # One row for each written partition, of which a sort makes at most spark.sql.shuffle.partitions: 16 bytes each.
@@ -56,7 +56,7 @@ def page(df: DataFrame, order_by: Sequence[str | Column], limit: int, offset: in
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must not be negative")
     if limit + offset <= SHALLOW_ROWS:
-        return df.orderBy(*_total_order(df, order_by)).offset(offset).limit(limit)
+        return df.orderBy(*total_order(df, order_by)).offset(offset).limit(limit)
     inside = (F.col("position") >= offset) & (F.col("position") < offset + limit)
     return positioned(df, order_by).where(inside).drop("position")
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from spotshare.functions.csvtext import csv_header, csv_row
 from spotshare.functions.temporal import current_month
 from spotshare.operators import conform as conform_ops, infer, merge, paging, sizing, status
-from spotshare.plans import chunks
+from spotshare.plans import chunks, layout
 from spotshare.plans.staging import new_folder
-from spotshare.sources import connector, dataset, export, records, stored, tables
+from spotshare.sources import connector, dataset, export, pagechain, records, stored, tables
 from workload.share import query
 from workload.views import TABLES, table, view
 
@@ -247,6 +249,38 @@ def page_single(spark, sf):
     return paging.page(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], 500, 1500)
 
 
+@query("deep_pages", """WITH p AS (SELECT o_orderkey, o_custkey, row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1 AS position, count(*) OVER () AS n FROM orders)
+SELECT o_orderkey, o_custkey, position, i AS page FROM p, range(1, 11) AS r(i) WHERE position >= i * n // 11 AND position < i * n // 11 + 25""")
+def deep_pages(spark, sf):
+    """Ten pages all over the orders, each asked of a layout that only the first call makes."""
+    orders, path = table(spark, sf, "orders").select("o_orderkey", "o_custkey"), new_folder(spark, "layout")
+    n, found = orders.count(), []
+    for i in range(1, 11):
+        layout.lay_out(orders, ["o_custkey", "o_orderkey"], path)
+        found.append(layout.page(spark, path, 25, i * n // 11).withColumn("page", F.lit(i).cast("long")))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("page_chain", f"""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, row_number() OVER (ORDER BY c_custkey DESC) - 1 AS position FROM customer""")
+def page_chain(spark, sf):
+    """Customers by falling key in pages that only name their successors; each record's position follows from the ranks of the pages."""
+    path, rows = new_folder(spark, "pages"), 50
+    numbered = paging.positioned(table(spark, sf, "customer").select("c_custkey", "c_name"), [F.desc("c_custkey")])
+    n = numbered.count()
+    page = F.call_function("div", F.col("position"), F.lit(rows))
+    records_ = F.transform(F.array_sort(F.collect_list(F.struct("position", "c_custkey", "c_name"))), lambda r: F.struct(r.c_custkey, r.c_name))
+    pages = numbered.groupBy(page.alias("page")).agg(records_.alias("records"))
+
+    def address(number):
+        return F.concat(F.lit("/pages/"), F.md5(number.cast("string")))
+
+    following = F.when((F.col("page") + 1) * rows < n, address(F.col("page") + 1))
+    body = F.struct(address(F.col("page")).alias("url"), following.alias("nextRecordsUrl"), F.lit(n).alias("totalSize"), "records")
+    pages.select(F.to_json(body).alias("value")).write.text(path)
+    found = pagechain.read_chain(spark, path, T.StructType.fromDDL("c_custkey STRING, c_name STRING"))
+    return found.select("c_custkey", "c_name", (F.col("page") * rows + F.col("place")).alias("position"))
+
+
 @query("key_chunks", """WITH c AS (SELECT o_orderkey, (o_orderkey - (SELECT min(o_orderkey) FROM orders)) // 2500 AS chunk_id FROM orders)
 SELECT chunk_id, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, count(*) AS n_rows FROM c GROUP BY chunk_id""")
 def key_chunks(spark, sf):
