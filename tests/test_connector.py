@@ -338,3 +338,25 @@ def test_bundles_shrink_without_a_shuffle(spark):
     assert few.count() == many.count() == 4000
     drawn = sizing.size_repartition(df.withColumn("r", F.rand()), 40_000)
     assert sorted(drawn.collect()) == sorted(drawn.collect())
+
+
+def test_options_reach_commit_log_and_stored_tables(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "Id long, name string")
+    given = {"dataset": "d", "path": f"{tmp_path}/d", "commitLog": "true"}
+    connector.save(rows, given)
+    for _ in range(2):
+        connector.save(spark.createDataFrame([(2, "B"), (3, "c")], rows.schema), given | {"upsert": "true", "metadata": "{}", "upload": "u"})
+    back = connector.load(spark, {"committed": f"{tmp_path}/d"})
+    assert sorted(map(tuple, back.collect())) == [(1, "a"), (2, "B"), (3, "c")]
+    connector.save(rows, given | {"upload": "again"}, "overwrite")
+    assert connector.load(spark, {"committed": f"{tmp_path}/d"}).count() == 2
+    with pytest.raises(ValueError):
+        connector.load(spark, {"committed": f"{tmp_path}/d", "recordPages": "x"})
+    kept = {"object": "o", "path": f"{tmp_path}/o", "partitionBy": "name"}
+    connector.save(rows, kept | {"batch": "first"})
+    new = spark.createDataFrame([(2, "a"), (9, "z")], rows.schema)
+    for _ in range(2):
+        table = connector.save(new, kept | {"batch": "second", "upsert": "true"})
+    assert sorted(map(tuple, table.collect())) == [(1, "a"), (2, "a"), (9, "z")]
+    with pytest.raises(ValueError):
+        connector.save(rows, kept)
