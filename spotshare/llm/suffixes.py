@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spotshare.llm.common import CHUNK_BYTES, batch_of, chunks, prefix_sums, span_hashes
+from spotshare.llm.common import CHUNK_BYTES, batch_of, chunks, lean, prefix_sums, span_hashes
 from spotshare.plans.staging import join_side, write_stage
 
 LENGTH = 200
@@ -24,7 +24,8 @@ GRAM = 32
 SHALLOW = 16  # bytes that the multikey quicksort looks at
 SUFFIXES_AT_ONCE = 1 << 19
 SLICES_AT_ONCE = 1 << 15
-HOT = 50_000  # places of an anchor whose strings one task sorts; of one with more, strings are dealt to full depth
+HOT = 20_000  # places of an anchor whose strings one task sorts; those of one with more are dealt by more of their bytes
+SPREAD = 16  # starts of a hot anchor that are dealt together
 _POSITION_BITS = 22
 
 
@@ -60,7 +61,7 @@ def _anchors(text: bytes, length: int, gram: int) -> tuple[np.ndarray, ...]:
 
 
 def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """One row for each text: its digest, the hashes of its anchors, and start << 16 | number of starts << 8 | offset of each."""
+    """One row for each text: its digest, the hashes of its anchors, and start << 32 | number of starts << 16 | offset of each."""
     schema = pa.schema([("digest", pa.binary()), ("anchors", pa.list_(pa.int64())), ("places", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,12 +70,12 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 found = [_anchors(t, length, gram) for t in part]
                 ends = pa.array(np.cumsum([0] + [len(f[0]) for f in found]), pa.int32())
                 anchors = np.concatenate([f[0] for f in found])
-                places = np.concatenate([f[1] << 16 | f[2] << 8 | f[3] for f in found])
+                places = np.concatenate([f[1] << 32 | f[2] << 16 | f[3] for f in found])
                 yield batch_of(schema, digest=batch.column(0).slice(first, len(part)),
                                anchors=pa.ListArray.from_arrays(ends, pa.array(anchors)),
                                places=pa.ListArray.from_arrays(ends, pa.array(places)))
 
-    return texts.select("digest", "content").mapInArrow(run, "digest binary, anchors array<long>, places array<long>")
+    return texts.select("digest", "content").mapInArrow(lean(run), "digest binary, anchors array<long>, places array<long>")
 
 
 def _pieces(text: bytes, runs: pa.Scalar, length: int) -> dict[tuple, list[int]]:
@@ -82,7 +83,7 @@ def _pieces(text: bytes, runs: pa.Scalar, length: int) -> dict[tuple, list[int]]
     found: dict[tuple, list[int]] = {}
     anchors, places = (x.to_pylist() for x in runs.values.flatten())
     for anchor, place in zip(anchors, places):
-        start, count, offset = place >> 16, place >> 8 & 255, place & 255
+        start, count, offset = place >> 32, place >> 16 & 0xFFFF, place & 0xFFFF
         piece = text[start : start + count + length - 1]
         key = hashlib.md5(b"%d %d " % (anchor, offset) + piece).digest()
         found.setdefault((key, anchor, count, offset, piece), []).append(start)
@@ -113,7 +114,7 @@ def _slices(held: DataFrame, length: int) -> DataFrame:
                     own = {}
         yield from rows(own)
 
-    return held.select("content", "runs", "rows").mapInArrow(run, "id binary, anchor long, count int, offset int, bytes binary, copies long")
+    return held.select("content", "runs", "rows").mapInArrow(lean(run), "id binary, anchor long, count int, offset int, bytes binary, copies long")
 
 
 def _members(held: DataFrame, length: int) -> DataFrame:
@@ -126,7 +127,7 @@ def _members(held: DataFrame, length: int) -> DataFrame:
                 own = _pieces(content.as_py(), runs, length)
                 yield batch_of(schema, digest=[digest.as_py()] * len(own), id=[k[0] for k in own], starts=list(own.values()))
 
-    return held.select("digest", "content", "runs", "rows").mapInArrow(run, "digest binary, id binary, starts array<int>")
+    return held.select("digest", "content", "runs", "rows").mapInArrow(lean(run), "digest binary, id binary, starts array<int>")
 
 
 def _words_at(buf: np.ndarray) -> np.ndarray:
@@ -239,29 +240,27 @@ def _sorted_slices(slices: DataFrame, length: int) -> DataFrame:
 
     return (
         slices.select("id", "anchor", "count", "offset", "bytes", "copies").repartition("anchor")
-        .sortWithinPartitions("anchor", "id").mapInArrow(run, "id binary, repeats binary")
+        .sortWithinPartitions("anchor", "id").mapInArrow(lean(run), "id binary, repeats binary")
     )
 
 
-def _hot_slices(hot: DataFrame, length: int) -> DataFrame:
-    """As _sorted_slices for anchors with too many different slices for a task: dealt to the full depth, start by start."""
-    single = hot.select(
-        "id", "count", "copies", F.posexplode(F.expr(f"transform(sequence(1, count), i -> substring(bytes, i, {length}))")).alias("nth", "string")
-    ).withColumn("string", F.unhex(F.sha2("string", 256)))
-    totals = single.groupBy("string").agg(F.sum("copies").alias("total")).where("total > 1").select("string")
-    found = single.join(totals, "string", "left_semi").groupBy("id", "count").agg(F.sort_array(F.collect_set("nth")).alias("nths"))
-    schema = pa.schema([("id", pa.binary()), ("repeats", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = []
-            for count, nths in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                flags = np.zeros(count, dtype=bool)
-                flags[nths] = True
-                bits.append(np.packbits(flags).tobytes())
-            yield batch_of(schema, id=batch.column(0), repeats=bits)
+def _finer(hot: DataFrame, length: int) -> DataFrame:
+    """The slices of anchors with too many places for a task, cut into slices of up to SPREAD starts that are dealt by more bytes.
 
-    return found.mapInArrow(run, "id binary, repeats binary")
+    Equal strings stand equally far before their anchor, so starts are cut by that distance, and all strings of such a range hold
+    the same ``length`` - SPREAD + 1 bytes around the anchor: these bytes take the anchor's part. ``id`` gains two bytes, the
+    place of the first start in its old slice.
+    """
+    low = F.col("range") * SPREAD  # the least distance of the range
+    first = F.greatest(F.lit(0), F.col("offset") - low - (SPREAD - 1))
+    last = F.least(F.col("count") - 1, F.col("offset") - low)
+    ranges = F.sequence(F.floor((F.col("offset") - F.col("count") + 1) / SPREAD), F.floor(F.col("offset") / SPREAD))
+    cut = hot.withColumn("range", F.explode(ranges)).select("*", first.cast("int").alias("first"), last.cast("int").alias("last"), low.alias("low"))
+    core = F.substring(F.col("bytes"), (F.col("offset") - F.col("low") + 1).cast("int"), F.lit(length - SPREAD + 1))
+    return cut.select(
+        F.concat("id", F.unhex(F.lpad(F.hex("first"), 4, "0"))).alias("id"), F.xxhash64("anchor", "range", core).alias("anchor"),
+        (F.col("last") - F.col("first") + 1).alias("count"), (F.col("offset") - F.col("first")).alias("offset"),
+        F.substring(F.col("bytes"), F.col("first") + 1, F.col("last") - F.col("first") + length).alias("bytes"), "copies")
 
 
 def _cut(rows: DataFrame, length: int) -> DataFrame:
@@ -286,7 +285,7 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
                 if len(edges):
                     yield batch_of(schema, digest=[digest.as_py()], kept=[kept], spans=[edges.tolist()])
 
-    return rows.select("digest", "content", "found", "rows").mapInArrow(run, "digest binary, kept binary, spans array<array<int>>")
+    return rows.select("digest", "content", "found", "rows").mapInArrow(lean(run), "digest binary, kept binary, spans array<array<int>>")
 
 
 def content_of(text: str = "text") -> Column:
@@ -305,6 +304,8 @@ def cuts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT
     row; all places lose it. Repeated rows and copies count as places of their own, so a text with copies loses all its bytes if
     it is long enough. Texts are whole, as UTF-8; NULL is empty and never loses anything. Ids and other columns are not read.
     """
+    if not gram < length <= 1 << 14 or length - SPREAD < gram:
+        raise ValueError("strings must be longer than their anchors, and of 16,384 bytes at most")
     texts = docs.select(content_of().alias("content")).where(F.octet_length("content") >= length).withColumn(
         "digest", digest_of(F.col("content"))
     )
@@ -326,20 +327,25 @@ def cuts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT
     held = text.join(lists.hint("merge"), "digest")
     slices = _slices(held, length)
     wide = often.where(F.col("places") > hot).select("anchor")
-    if wide.isEmpty():
-        repeats = _sorted_slices(slices, length)
-    else:
-        # slices are exchanged only once the few anchors of many places are told apart, each part by its own key
+    if not wide.isEmpty():
+        # slices are exchanged only once the few anchors of many places are told apart
         wide = join_side(wide)
-        repeats = _sorted_slices(slices.join(wide, "anchor", "left_anti"), length).unionByName(
-            _hot_slices(slices.join(wide, "anchor", "left_semi"), length))
+        slices = slices.join(wide, "anchor", "left_anti").unionByName(_finer(slices.join(wide, "anchor", "left_semi"), length))
+    repeats = _sorted_slices(slices, length).select(
+        F.substring("id", 1, 16).alias("id"), "repeats",
+        F.when(F.octet_length("id") > 16, F.conv(F.hex(F.substring("id", 17, 2)), 16, 10).cast("int")).otherwise(0).alias("shift"))
     found = (
         _members(held, length).join(repeats.hint("merge"), "id")
-        .groupBy("digest").agg(F.collect_list(F.struct("starts", "repeats")).alias("found"))
+        .groupBy("digest").agg(F.collect_list(F.struct(F.transform("starts", lambda s: s + F.col("shift")).alias("starts"), "repeats")).alias("found"))
     )
     return _cut(text.join(found.hint("merge"), "digest"), length)
 
 
+def repeat_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
+    """``digest`` (see ``digest_of``) and ``spans`` of each different text that loses bytes; see ``cuts``."""
+    return cuts(docs, length, gram, hot).select("digest", "spans")
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``docs`` with the columns ``kept`` (the bytes left), ``spans`` and ``n_bytes`` added; see ``cuts`` for what goes.
 
