@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import contextlib
+import ctypes
+import sys
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,41 @@ def chunks(texts: Iterable[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[i
         yield first, held
 
 
+# Labelled texts of more bytes are not learned from; they are scored like all others.
+SAMPLE_BYTES = 1 << 18
+
+
+def one_text(picked: DataFrame) -> DataFrame:
+    """Of labelled rows (``doc_id``, ``label``, ``text``) one for each id: its smallest text of at most SAMPLE_BYTES bytes; NULL is empty."""
+    text = F.coalesce("text", F.lit(""))
+    short = picked.withColumn("text", text).where(F.octet_length("text") <= SAMPLE_BYTES)
+    return short.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text")).select("doc_id", "label", "text")
+
+
+def _give_back() -> None:
+    """Returns freed memory to the system: a worker lives on after its task, beside the executor's."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function of a task, after which its worker keeps no memory that it doesn't use."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+
+    return wrapped
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows: what a task makes of texts at once stays small whatever the session's batch size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def encoded(column: pa.Array, lower: bool = False) -> list[bytes]:
     """The texts of an Arrow column as UTF-8; NULL is empty."""
     values = column.to_pylist()
@@ -57,11 +95,11 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _powers(base: int, n: int) -> np.ndarray:
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        size = max(n, 2 * CHUNK_BYTES)
+        size = max(n, CHUNK_BYTES + 1024)
         steps = np.full(size, base, dtype=np.uint64)
         steps[0] = 1
         have = np.cumprod(steps)
-        if size <= 4 * CHUNK_BYTES:
+        if size <= 2 * CHUNK_BYTES:
             _POWERS[base] = have
     return have[:n]
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from spotshare.llm.common import DIGITS, LETTERS, MARKS, batch_of, bucket_of_id, byte_classes, chunks, encoded, tokens
+from spotshare.llm.common import DIGITS, LETTERS, MARKS, batch_of, bucket_of_id, byte_classes, chunks, encoded, lean, one_text, slices, tokens
 
 BUCKETS = 1 << 13
 SIZE = 24
@@ -60,7 +60,7 @@ def context_vectors(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros((BUCKETS, SIZE), dtype=np.float64), np.zeros(BUCKETS, dtype=bool)
-        for batch in batches:
+        for batch in slices(batches):
             for _, part in chunks(encoded(batch.column(0))):
                 bucket, owner = _buckets(part)
                 if not len(bucket):
@@ -72,7 +72,7 @@ def context_vectors(docs: DataFrame) -> np.ndarray:
         at = np.flatnonzero(seen)
         yield batch_of(schema, bucket=at.astype(np.int32), sums=list(total[at].astype(np.float32)))
 
-    parts = docs.select(F.col("text").cast("string")).mapInArrow(run, "bucket int, sums array<float>")
+    parts = docs.select(F.col("text").cast("string")).mapInArrow(lean(run), "bucket int, sums array<float>")
     sums = parts.groupBy("bucket").agg(*(F.sum(F.col("sums")[d].cast("double")).alias(f"d{d}") for d in range(SIZE))).collect()
     vectors = np.zeros((BUCKETS, SIZE), dtype=np.float32)
     for row in sums:
@@ -163,7 +163,8 @@ def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 11) -> Network:
 
 
 def labelled_features(docs: DataFrame, labels: DataFrame, vectors, limit: int) -> DataFrame:
-    """``label`` and ``features`` of up to ``limit`` labelled documents, by a hash of the id; two labels of an id average."""
+    """``label`` and ``features`` of up to ``limit`` labelled documents, by a hash of the id; two labels of an id average, and an id counts
+    once (see ``one_text``)."""
     chosen = (
         labels.where("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("label").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
@@ -171,15 +172,13 @@ def labelled_features(docs: DataFrame, labels: DataFrame, vectors, limit: int) -
     schema = pa.schema([("label", pa.float64()), ("features", pa.list_(pa.float32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for first, part in chunks(encoded(batch.column(1))):
                 yield batch_of(schema, label=batch.column(0).slice(first, len(part)), features=list(pooled(part, vectors.value)))
 
     # ``limit`` rows of two numbers: a proven bound for the broadcast
-    return (
-        docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("label", "text")
-        .mapInArrow(run, "label double, features array<float>")
-    )
+    picked = one_text(docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id"))
+    return picked.select("label", "text").mapInArrow(lean(run), "label double, features array<float>")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, Network]:
@@ -206,12 +205,12 @@ def score(docs: DataFrame, vectors: np.ndarray, net: Network) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, network = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             scores = [network.scores(pooled(part, known)) for _, part in chunks(encoded(batch.column(at["text"])))]
             column = pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
             yield pa.RecordBatch.from_arrays([*(batch.column(at[c]) for c in names), column], names=[*names, "quality_score"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def training_labels(labels: DataFrame, column: str, modulus: int, held_out: int) -> DataFrame:

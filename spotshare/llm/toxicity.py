@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from spotshare.llm.common import DIGITS, LETTERS, batch_of, byte_classes, chunks, encoded, mix, tokens
+from spotshare.llm.common import DIGITS, LETTERS, batch_of, byte_classes, chunks, encoded, mix, one_text, tokens
 
 BITS = 22
 SAMPLE = 12_000  # labelled rows that the weights are learned from, at most
@@ -86,7 +86,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Weights:
     """Learns from at most ``sample`` rows of ``labels`` (``doc_id``, ``label``), chosen by a hash of the id.
 
     Features are hashed where the texts are; one task gets them (a bounded number of rows) and returns the weights that
-    are not zero. Rows without id, label or document don't count; two labels of an id average.
+    are not zero. Rows without id, label or document don't count; two labels of an id average. An id counts once, by the smallest
+    of its texts of at most ``SAMPLE_BYTES`` bytes, so that the task's rows and bytes are both bounded.
     """
     chosen = (
         labels.where("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("label").alias("label"))
@@ -112,7 +113,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Weights:
         yield batch_of(found, at=np.append(model.at, -1).astype(np.int32), weight=np.append(model.weight, model.bias))
 
     # ``sample`` rows of two numbers: a proven bound for the broadcast
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
+    picked = one_text(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id"))
     rows = (
         picked.select("doc_id", F.col("label").cast("double"), "text").mapInArrow(hashed, "doc_id long, label double, features array<int>")
         .repartition(1).mapInArrow(learned, "at int, weight double").orderBy("at").toPandas()
