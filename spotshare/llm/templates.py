@@ -206,11 +206,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, li
     best = F.max_by(F.struct("shift", "n_windows", "n_words", "reparameterised"), F.struct("n_windows", -F.col("shift")))
     found = alignments(docs, benchmark, window, literals, least).groupBy("digest", "item_id").agg(best.alias("best"))
     own = docs.select(F.unhex(F.md5(F.col("text").cast("string"))).alias("digest"), "doc_id")
-    return own.join(found, "digest").select("doc_id", "item_id", "best.*")
+    return own.join(join_side(found), "digest").select("doc_id", "item_id", "best.*")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage, with all their columns."""
-    found = alignments(docs, benchmark).select("digest").distinct()
-    own = F.unhex(F.md5(F.col("text").cast("string")))
-    return docs.withColumn("__digest", own).join(found.withColumnRenamed("digest", "__digest"), "__digest", "left_anti").drop("__digest")
+    found = join_side(alignments(docs, benchmark).select("digest").distinct())
+    # the columns in one struct, so that none of theirs clashes
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.unhex(F.md5(F.col("text").cast("string"))).alias("digest"))
+    return own.join(found, "digest", "left_anti").select("row.*")
