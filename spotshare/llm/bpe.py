@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
+from spotshare.llm.common import lean
+
 _PAIRS = 1 << 17
 _PIECES = 80_000  # of each of two generations
 _WORDS = 80_000  # likewise
@@ -271,7 +273,7 @@ def _mapped(df: DataFrame, source: str, made: dict[str, DataType], make: Callabl
                 yield pa.RecordBatch.from_arrays([*kept, *parts], names=[*keep, *made])
                 first += len(parts[0])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def _lists(parts: list[bytes]) -> pa.Array:
