@@ -7,6 +7,7 @@ of the longest of these lengths that fits it. ``BANDS`` bands of ``ROWS`` minima
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,6 +19,7 @@ from spotshare.llm.common import DIGITS, LETTERS, batch_of, byte_classes, chunks
 
 SHINGLE = 2  # words
 LENGTHS = (2, 4, 8, 16, 32)  # shingles in a window
+SLICE = 1 << 16  # shingles whose band keys are held at once
 BANDS, ROWS = 6, 2
 CONTAINED = 0.8
 _CLASSES = byte_classes(word=LETTERS + DIGITS)
@@ -108,37 +110,42 @@ class Licenses:
     def scan(self, shingles: np.ndarray) -> list[tuple[int, int, int, float]]:
         """License, first and last shingle and containment of each notice in a text; of overlapping ones the best, then the longest."""
         places = set()
-        for length, keys in _band_keys(shingles).items():
-            for band in range(BANDS):
-                if (length, band) not in self.index:
-                    continue
-                own, licence, at = self.index[length, band]
-                left = np.searchsorted(own, keys[band], side="left")
-                for i in np.flatnonzero(own[np.minimum(left, len(own) - 1)] == keys[band]):
-                    for j in range(left[i], len(own)):
-                        if own[j] != keys[band][i]:
-                            break
-                        places.add((int(licence[j]), int(i) - int(at[j])))
+        # a long text in slices that share the longest window but one place
+        for offset in range(0, max(1, len(shingles) - LENGTHS[0] + 1), SLICE):
+            for length, keys in _band_keys(shingles[offset : offset + SLICE + max(LENGTHS) - 1]).items():
+                for band in range(BANDS):
+                    if (length, band) not in self.index:
+                        continue
+                    own, licence, at = self.index[length, band]
+                    left = np.searchsorted(own, keys[band], side="left")
+                    for i in np.flatnonzero(own[np.minimum(left, len(own) - 1)] == keys[band]):
+                        for j in range(left[i], len(own)):
+                            if own[j] != keys[band][i]:
+                                break
+                            places.add((int(licence[j]), offset + int(i) - int(at[j])))
         found = []
         for licence, start in places:
             own = self.shingles[licence]
-            slack = len(own) // 8  # room for words put in
+            slack = max(2, len(own) // 8)  # room for words put in
             first = max(0, start - slack)
             region = shingles[first : max(0, start + len(own) + slack)]
-            share = len(np.intersect1d(region, own)) / len(np.unique(own))
+            # a shingle counts near its place alone, not where a neighbour in the slack has it
+            apart = np.arange(first - start, first - start + len(region))[:, None] - np.arange(len(own))
+            placed = (region[:, None] == own) & (np.abs(apart) <= slack)
+            share = len(np.unique(own[placed.any(0)])) / len(np.unique(own))
             if share >= CONTAINED:
-                # the notice ends with its own shingles near their places, not with those of a neighbour in the slack
-                apart = np.arange(first - start, first - start + len(region))[:, None] - np.arange(len(own))
-                same = region[:, None] == own
-                placed = same & (np.abs(apart) <= max(slack, 1))
-                hit = np.flatnonzero((placed if placed.any() else same).any(1))
+                hit = np.flatnonzero(placed.any(1))
                 found.append((licence, first + int(hit[0]), first + int(hit[-1]), share))
         found.sort(key=lambda f: (-f[3], -len(self.shingles[f[0]]), f[1], f[0]))
-        taken: list[tuple[int, int, int, float]] = []
+        # what is taken never overlaps, so only the neighbours by place can
+        starts: list[int] = []
+        taken: dict[int, tuple[int, int, int, float]] = {}
         for f in found:
-            if all(f[2] < t[1] or f[1] > t[2] for t in taken):
-                taken.append(f)
-        return sorted(taken, key=lambda f: f[1])
+            at = bisect_right(starts, f[2])
+            if not at or taken[starts[at - 1]][2] < f[1]:
+                starts.insert(at, f[1])
+                taken[f[1]] = f
+        return [taken[start] for start in starts]
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
