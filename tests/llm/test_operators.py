@@ -14,7 +14,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from spotshare.llm import bpe, components, licences, quality, queries, rules, sharding, simhash, suffixes, templates, toxicity, urls
+from spotshare.llm import bpe, common, components, licences, quality, queries, rules, sharding, simhash, suffixes, templates, toxicity, urls
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -89,6 +89,32 @@ def test_suffixes_equal_brute_force(spark, hot):
     assert by_row(map(tuple, got)) == by_row(removal_by_force([(k, t or "") for k, t in rows], 64))
 
 
+@pytest.mark.parametrize("length", [300, 400])
+def test_suffixes_of_other_lengths(spark, length):
+    rng = random.Random(5)
+    shared = [prose(rng, 90) for _ in range(2)]
+    rows = [(i, prose(rng, 30) + " " + shared[i % 2] + prose(rng, 5)) for i in range(6)] + [(9, "x" * 900), (10, "xy" * 500)]
+    got = suffixes.removal_digests(spark.createDataFrame(rows, "doc_id long, text string"), length=length, hot=3).collect()
+    want = removal_by_force(rows, length)
+    assert by_row(map(tuple, got)) == by_row(want) and any(r[2] for r in want[:6])
+
+
+def test_suffixes_refuse_impossible_lengths(empty):
+    for length in (16, 40, 1 << 20):
+        with pytest.raises(ValueError):
+            suffixes.removal_digests(empty, length=length)
+
+
+def test_an_id_is_learned_from_once(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 3}") for i in range(300)] + [(2, "b" * (1 << 19)), (3, None), (4, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1.0) for k in (1, 2, 3, 4)], "doc_id long, label double")
+    picked = common.one_text(docs.join(labels, "doc_id"))
+    assert sorted(map(tuple, picked.collect())) == [(1, 1.0, "text 0"), (3, 1.0, ""), (4, 1.0, "d")]
+    shared = spark.sparkContext.broadcast(np.ones((quality.BUCKETS, quality.SIZE), dtype=np.float32))
+    assert quality.labelled_features(docs.withColumn("label", F.lit("clash")), labels, shared, 10).count() == 3
+    assert toxicity.train(docs.withColumn("label", F.lit("clash")), labels) is not None
+
+
 def test_suffixes_odd_and_empty(odd, empty):
     got = suffixes.removal_digests(odd).collect()
     short = [(k, t) for k, t in texts_of(odd) if len(t) < 50_000]
@@ -422,6 +448,55 @@ def test_licenses_standing_back_to_back(spark):
     assert by_row(map(tuple, got)) == by_row([(i, n) for i, n in enumerate(names) for _ in range(4)] + [(k, n) for k in (10, 11) for n in names])
 
 
+def test_near_copies_of_a_table_are_found(spark):
+    """Every pair of 0.8 and more among all texts of the table ends in one component."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sets = {k: set(simhash.shingle_set(t.encode().lower(), 5).tolist()) for k, t in texts_of(docs)}
+    holders = {}
+    for k, held in sets.items():
+        for h in held:
+            holders.setdefault(h, []).append(k)
+    common_ = {}
+    for ids in holders.values():
+        for i, a in enumerate(ids):
+            for b in ids[i + 1 :]:
+                common_[a, b] = common_.get((a, b), 0) + 1
+    pairs = [(a, b) for (a, b), n in common_.items() if n >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(docs).collect()}
+    assert len(pairs) > 20 and sum(got[a] == got[b] for a, b in pairs) >= 0.98 * len(pairs)
+    assert len(got) == docs.count()
+
+
+def test_edited_licenses_are_found():
+    """Words put in, changed or taken out; what exact containment of 0.8 accepts must nearly always be found."""
+    rng = random.Random(21)
+    index = licences.Licenses.of(licences.TEMPLATES)
+    asked = found = 0
+    for k, name in enumerate(index.names):
+        words = licences.TEMPLATES[name].lower().replace(".", " ").replace(",", " ").split()
+        for _ in range(40):
+            edited = list(words)
+            for _ in range(rng.randrange(1, 4)):
+                at = rng.randrange(len(edited))
+                edited[at : at + rng.randrange(2)] = [rng.choice(WORDS)] if rng.random() < 0.7 else []
+            text = " ".join([prose(rng, 30), *edited, prose(rng, 30)]).encode()
+            shingles = licences._shingles(licences.tokens([text], licences._CLASSES)[0])
+            own = np.unique(index.shingles[k])
+            if len(np.intersect1d(shingles, own)) >= 0.8 * len(own):
+                asked += 1
+                found += any(f[0] == k for f in index.scan(shingles))
+    assert asked > 300 and found >= 0.97 * asked
+
+
+def test_many_licenses_in_one_long_text(monkeypatch):
+    index = licences.Licenses.of(licences.TEMPLATES)
+    text = " filler ".join(licences.TEMPLATES[n].lower() for n in index.names * 30).encode()
+    shingles = licences._shingles(licences.tokens([text], licences._CLASSES)[0])
+    whole = index.scan(shingles)
+    monkeypatch.setattr(licences, "SLICE", 64)
+    assert index.scan(shingles) == whole and len(whole) == 30 * len(index.names)
+
+
 def test_license_rows_equal_a_text_search(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     notices = {n: t.lower().rstrip(".") for n, t in licences.TEMPLATES.items() if len(t) < 80}
@@ -433,7 +508,7 @@ def test_license_rows_equal_a_text_search(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(queries.ORACLES[name])
     got = queries.QUERIES[name](spark, SF)

@@ -6,6 +6,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from tests.llm.test_operators import DOCS, prose, removal_by_force
@@ -60,6 +61,28 @@ def test_stages_run_on_an_empty_table(spark, corpus):
         assert stage(spark, corpus.limit(0), SF).count() == 0
 
 
+def test_stages_keep_columns_of_any_name(spark, corpus):
+    names = ("__row", "__node", "__digest", "__root", "__sketch", "row", "digest", "spans", "first", "quality_score", "label")
+    docs = corpus
+    for name in names:
+        docs = docs.withColumn(name, F.lit("clash"))
+    for label, stage in cp.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns, label
+        assert all(r[n] == "clash" for r in got.collect() for n in names), label
+    assert cp.tokenize(spark, docs, SF).count() == docs.count()
+
+
+def test_odd_rows_pass_all_stages(spark, corpus):
+    """NULLs, empty texts, repeated rows: the quality, benchmark and token stages treat them as their docstrings say."""
+    clean = cp.benchmark_filter(spark, corpus, SF)
+    assert sorted(map(str, clean.collect())) == sorted(map(str, corpus.collect()))
+    done = {(r["doc_id"], r["n_tokens"], r["round_trip"]) for r in cp.tokenize(spark, corpus, SF).collect()}
+    assert {(60, 0, True), (61, 0, True)} <= done and all(r[2] for r in done)
+    kept = cp.quality_filter(spark, corpus, SF)
+    assert kept.columns == corpus.columns and kept.count() <= corpus.count()
+
+
 def test_run_keeps_clean_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     done = cp.run(spark, SF)
