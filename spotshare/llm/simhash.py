@@ -3,8 +3,9 @@
 The population counts of a fingerprint's parts (four of 16 bits, say) name its tile. Two fingerprints that differ in r bits
 have counts that differ by at most r in sum, so only such tiles are compared, and every pair within the radius is compared:
 the result is exact. Tiles are cut into blocks of bounded size; a task compares one block with one block by exclusive-or
-and bit counts. For a wide radius, where chance pairs occur, every pair within it is also held against a sketch of both
-texts' shingles, in the same task. Such pairs are only candidates: the components they form are cut into blocks, and two texts are
+and bit counts. For a wide radius, at which counts prune nothing, tiles are the texts that share a band of their sketches, the
+smallest hashes of 64 bins of shingles; every pair of a tile within the radius is also held against both sketches, in the same
+task. Such pairs are only candidates: the components they form are cut into blocks, and two texts are
 linked only if the exact Jaccard similarity of their whole shingle sets reaches the bound.
 """
 
@@ -18,12 +19,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from spotshare.llm.common import batch_of, encoded
+from spotshare.llm.common import batch_of, encoded, lean, slices
 from spotshare.llm.components import components
 from spotshare.plans.staging import join_side, write_stage
 
 BLOCK = 2048  # fingerprints in a block of a tile
 BINS = 64  # bytes of a sketch
+BAND = 4  # bins in a band
+_NONE = np.iinfo(np.uint64).max
 WIDE = 20  # bits: pairs of similarity 0.8 differ in 9.7, with a deviation of 2.9
 AGREEMENT = 0.6  # of two sketches: four deviations below 0.8
 SIMILARITY = 0.8  # Jaccard, of whole shingle sets
@@ -48,17 +51,33 @@ def _parts(hashes: Iterator[int]) -> Iterator[np.ndarray]:
         yield part
 
 
-def _print_of(parts: Iterable[np.ndarray]) -> tuple[int, bytes]:
-    """The SimHash and the sketch of hashes that come in parts."""
-    total, ones, low = 0, np.zeros(64, dtype=np.int64), np.full(BINS, np.iinfo(np.uint64).max, dtype=np.uint64)
+def _minima(parts: Iterable[np.ndarray]) -> tuple[int, np.ndarray]:
+    """The SimHash of hashes that come in parts, and the smallest of each bin; the largest number where there is none."""
+    total, ones, low = 0, np.zeros(64, dtype=np.int64), np.full(BINS, _NONE, dtype=np.uint64)
     for part in parts:
         bits = np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         for i in range(0, len(bits), 255):
             ones += bits[i : i + 255].sum(axis=0, dtype=np.uint8)
         np.minimum.at(low, (part % np.uint64(BINS)).astype(np.int64), part // np.uint64(BINS))
         total += len(part)
-    sketch = np.where(low == np.iinfo(np.uint64).max, 0, 1 + low % np.uint64(255)).astype(np.uint8)
-    return int(np.packbits(2 * ones > total).view(">u8")[0]), sketch.tobytes()
+    return int(np.packbits(2 * ones > total).view(">u8")[0]), low
+
+
+def _sketch(low: np.ndarray) -> bytes:
+    return np.where(low == _NONE, 0, 1 + low % np.uint64(255)).astype(np.uint8).tobytes()
+
+
+def _print_of(parts: Iterable[np.ndarray]) -> tuple[int, bytes]:
+    """The SimHash and the sketch of hashes that come in parts."""
+    found, low = _minima(parts)
+    return found, _sketch(low)
+
+
+def _bands(low: np.ndarray) -> list[int]:
+    """A key for each BAND bins in a row that hold something: texts of similarity 0.8 lack a common one of the 16 with 0.0002."""
+    rows = low.reshape(-1, BAND)
+    held = np.flatnonzero((rows != _NONE).any(1))
+    return [xxhash.xxh64_intdigest(rows[b].tobytes(), int(b)) - (1 << 63) for b in held]
 
 
 def fingerprint(text: bytes, words: int = 3) -> tuple[int, bytes]:
@@ -80,13 +99,13 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("fingerprint", pa.int64()), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [fingerprint(t, words) for t in encoded(batch.column(1))]
             prints = np.array([f for f, _ in found], dtype=np.uint64)
             yield batch_of(schema, doc_id=batch.column(0), fingerprint=prints.view(np.int64), sketch=[k for _, k in found])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, fingerprint long, sketch binary")
+        lean(run), "doc_id long, fingerprint long, sketch binary")
 
 
 def _near_tiles(radius: int, parts: int) -> list[tuple[int, ...]]:
@@ -149,21 +168,25 @@ def _tile(print_: Column, parts: int) -> Column:
     return name
 
 
-def near_links(prints: DataFrame, radius: int = 3, parts: int = 4, agreement: float = 0.0, block: int = BLOCK) -> DataFrame:
+def near_links(
+    prints: DataFrame, radius: int = 3, parts: int = 4, agreement: float = 0.0, block: int = BLOCK, tiles: DataFrame | None = None
+) -> DataFrame:
     """Links ``a``, ``b`` between different nodes of ``prints`` (``node`` long, ``fingerprint``, ``sketch``) whose fingerprints differ in at
-    most ``radius`` bits, and whose sketches have ``agreement``.
+    most ``radius`` bits, and whose sketches have ``agreement``. With ``tiles`` (``node``, ``tile``) only nodes of a tile are compared.
 
     Each pair of blocks returns a spanning forest of its links, so that a block of near copies yields as many links as it has
     nodes; the components of the result are those of all links.
     """
-    own = prints.select("node", "fingerprint", "sketch").withColumn("tile", _tile(F.col("fingerprint"), parts))
+    own = prints.select("node", "fingerprint", "sketch")
+    own = own.withColumn("tile", _tile(F.col("fingerprint"), parts)) if tiles is None else tiles.join(join_side(own), "node")
+    near = _near_tiles(radius, parts) if tiles is None else [(0,)]
     counts = own.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     # a packed block is one row of bounded size: hashing deals a tile's prints evenly over its blocks
     packed = write_stage(
-        own.join(counts, "tile").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        own.join(join_side(counts), "tile").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .groupBy("tile", "block").agg(F.max("blocks").alias("blocks"), F.collect_list(F.struct("node", "fingerprint", "sketch")).alias("prints")), "blocks"
     )
-    steps = F.array(*(F.lit(sum(d << 8 * q for q, d in enumerate(delta))).cast("long") for delta in _near_tiles(radius, parts)))
+    steps = F.array(*(F.lit(sum(d << 8 * q for q, d in enumerate(delta))).cast("long") for delta in near))
     heads = packed.select("tile", F.col("blocks").alias("tile_blocks")).distinct()
     # the tile pairs whose counts are within the radius, then their block pairs
     pairs = (
@@ -195,7 +218,7 @@ def near_links(prints: DataFrame, radius: int = 3, parts: int = 4, agreement: fl
                 if len(a):
                     yield batch_of(schema, a=a, b=b)
 
-    return pairs.select("prints_a", "prints_b").mapInArrow(run, "a long, b long")
+    return pairs.select("prints_a", "prints_b").mapInArrow(lean(run), "a long, b long")
 
 
 def _classes(own: DataFrame, prints: DataFrame, **links) -> DataFrame:
@@ -227,22 +250,23 @@ def near_duplicates(docs: DataFrame, radius: int = 3, words: int = 3, block: int
 
 def copy_prints(docs: DataFrame, words: int = 5) -> DataFrame:
     """``docs`` with ``__row`` (a number of the row, to be written before it is used), ``__node`` (a hash of the shingle set, equal
-    for equal sets), ``__fingerprint`` and ``__sketch``, both of the shingle set.
+    for equal sets), ``__fingerprint``, ``__sketch`` and ``__bands`` (keys of parts of the sketch), all of the shingle set.
     """
     own = docs.select(F.col("text").cast("string").alias("__text"), *(F.col(f"`{c}`") for c in docs.columns), F.monotonically_increasing_id().alias("__row"))
-    added = [("__node", T.LongType(), pa.int64()), ("__fingerprint", T.LongType(), pa.int64()), ("__sketch", T.BinaryType(), pa.binary())]
+    added = [("__node", T.LongType(), pa.int64()), ("__fingerprint", T.LongType(), pa.int64()), ("__sketch", T.BinaryType(), pa.binary()),
+             ("__bands", T.ArrayType(T.LongType()), pa.list_(pa.int64()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t, words) for t in encoded(batch.column(0))]
-            found = [_print_of([x]) for x in sets]
+            found = [_minima([x]) for x in sets]
             nodes = np.array([xxhash.xxh64_intdigest(x.tobytes(), 42) for x in sets], dtype=np.uint64)
             prints = np.array([f for f, _ in found], dtype=np.uint64)
-            made = [nodes.view(np.int64), prints.view(np.int64), [k for _, k in found]]
+            made = [nodes.view(np.int64), prints.view(np.int64), [_sketch(low) for _, low in found], [_bands(low) for _, low in found]]
             columns = batch.columns[1:] + [pa.array(v, type=kind) for v, (_, _, kind) in zip(made, added)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[1:] + [name for name, _, _ in added])
 
-    return own.mapInArrow(run, T.StructType(own.schema.fields[1:] + [T.StructField(name, kind) for name, kind, _ in added]))
+    return own.mapInArrow(lean(run), T.StructType(own.schema.fields[1:] + [T.StructField(name, kind) for name, kind, _ in added]))
 
 
 def _confirmed(nodes: np.ndarray, sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -282,19 +306,25 @@ def copy_groups(
     Linked are shingle sets of at least that Jaccard similarity, computed exactly. Fingerprints and sketches only find the
     candidates: links between them form components, and within a component all pairs of sets are compared that no links join yet.
     """
-    prints = own.select(F.col("__node").alias("node"), F.col("__fingerprint").alias("fingerprint"), F.col("__sketch").alias("sketch"))
-    near = components(near_links(prints.dropDuplicates(["node"]), radius=radius, parts=1, agreement=agreement, block=block))
+    prints = write_stage(own.select(
+        F.col("__node").alias("node"), F.col("__fingerprint").alias("fingerprint"), F.col("__sketch").alias("sketch"),
+        F.col("__bands").alias("bands")).dropDuplicates(["node"]), "nodes")
+    # most bands are of one node alone; the others are the tiles
+    tiles = prints.select("node", F.explode("bands").alias("tile"))
+    shared = tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("tile")
+    tiles = write_stage(tiles.join(join_side(shared), "tile", "left_semi"), "tiles")
+    near = components(near_links(prints, radius=radius, agreement=agreement, block=block, tiles=tiles))
     # one text of each candidate is read again, for its whole shingle set
     rows = own.groupBy(F.col("__node").alias("node")).agg(F.min("__row").alias("__row")).join(near, "node")
     texts = own.select("__row", F.col("text").cast("string")).join(join_side(rows), "__row").select("root", "node", "text")
     schema = pa.schema([("root", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("shingles", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t, words) for t in encoded(batch.column(2))]
             yield batch_of(schema, root=batch.column(0), node=batch.column(1), size=[len(x) for x in sets], shingles=[x.tobytes() for x in sets])
 
-    sets = write_stage(texts.mapInArrow(read, "root long, node long, size long, shingles binary"), "sets")
+    sets = write_stage(texts.mapInArrow(lean(read), "root long, node long, size long, shingles binary"), "sets")
     blocks = sets.groupBy("root").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / sets_at_once, F.sum("size") / SHINGLES)).cast("int").alias("blocks"))
     # a set goes to every pair that its block forms with another block, or to the only block
@@ -312,7 +342,7 @@ def copy_groups(
                 if len(a):
                     yield batch_of(links, a=a, b=b)
 
-    return components(pairs.select("nodes", "sets").mapInArrow(confirm, "a long, b long"))
+    return components(pairs.select("nodes", "sets").mapInArrow(lean(confirm), "a long, b long"))
 
 
 def near_copies(docs: DataFrame, words: int = 5, **links) -> DataFrame:
