@@ -13,6 +13,15 @@ from spotshare.plans.staging import join_side, write_stage
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """``text``, and the other columns in the struct ``row``, so that none of theirs clashes with those of an operator."""
+    return docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"))
+
+
+def _unpacked(packed: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    return packed.select(*(changed.get(c, F.col("text") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in columns))
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the rows that the quality classifier scores at one half or more, empty and NULL texts too if so scored.
 
@@ -20,23 +29,25 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     labels = quality.training_labels(table(spark, sf_dir, "labels"), "quality", 3, 1)
     vectors, net = quality.train(docs, labels)
-    return quality.score(docs, vectors, net).where("quality_score >= 0.5").select(*docs.columns)
+    return _unpacked(quality.score(_packed(docs), vectors, net).where("quality_score >= 0.5"), docs.columns)
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps exactly one row of each group of near duplicates, whatever its ids: the first by doc_id (NULL last), by the MD5 of its
-    text, then by its other columns.
+    text, then by its other columns. All texts without words, empty and NULL ones too, are one group.
 
     Rows are documents: rows that share an id, NULL too, but no group each stay, and of equal rows one stays.
     """
-    own = write_stage(simhash.copy_prints(docs), "prints")
+    own = write_stage(simhash.copy_prints(_packed(docs)), "prints")
     groups = simhash.copy_groups(own).toDF("__node", "__root")
     # maps and variants have no order
-    others = [f"`{c}`" for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind and "variant" not in kind]
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.md5(F.col("text").cast("string")), *others, "__row")).alias("first")
+    kinds = [c for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind and "variant" not in kind]
+    ordered = [F.col(f"row.`{c}`").alias(f"by{i}") for i, c in enumerate(kinds)]
+    doc_id = F.col("row.doc_id")
+    first = F.min(F.struct(doc_id.isNull(), doc_id, F.md5(F.col("text").cast("string")), *ordered, "__row")).alias("first")
     firsts = own.groupBy("__node").agg(first).join(groups, "__node", "left")
     firsts = firsts.groupBy(F.coalesce("__root", "__node")).agg(F.min("first").alias("first")).select("first.__row")
-    return own.join(join_side(firsts), "__row", "left_semi").select(*(f"`{c}`" for c in docs.columns))
+    return _unpacked(own.join(join_side(firsts), "__row", "left_semi"), docs.columns)
 
 
 def _whole_characters(content: Column, spans: Column) -> Column:
@@ -61,21 +72,23 @@ def repeat_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Bytes of a character that was cut in two go with it. NULL texts stay NULL.
     """
-    done = suffixes.remove_repeats(docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")))
-    changed = F.size("spans") > 0
+    # the spans are joined from a measured side; only beyond its bound the texts are exchanged for them
+    own = _packed(docs).withColumn("digest", suffixes.digest_of(suffixes.content_of()))
+    done = own.join(join_side(suffixes.repeat_spans(docs.select("text"))), "digest", "left")
+    changed = F.col("spans").isNotNull()
     left = _whole_characters(F.col("text").cast("binary"), F.col("spans"))
     done = done.withColumn("text", F.when(changed, left).otherwise(F.col("text")))
     length = F.when(changed, F.length("text").cast("long")).otherwise(F.col("row.n_chars"))
-    return done.select(*({"text": F.col("text"), "n_chars": length.alias("n_chars")}.get(c, F.col(f"row.`{c}`")) for c in docs.columns))
+    return _unpacked(done, docs.columns, n_chars=length)
 
 
 def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the rows that hold no passage of the benchmark; NULL and empty texts hold none."""
-    return templates.clean(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return templates.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of every row, with their number and whether they decode to the text's bytes."""
+    """The token ids of every row, with their number and whether they decode to the text's bytes; NULL and empty texts have none."""
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
     coded = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path, pattern)
     return coded.select(
