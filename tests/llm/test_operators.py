@@ -8,6 +8,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -239,6 +240,34 @@ def test_bpe_without_the_word_shortcut():
         assert own.encode(text) == library.encode_ordinary(text)
 
 
+def test_bpe_searches_pieces_together():
+    path, pattern = public_tokenizers.path(queries.VOCABULARY), public_tokenizers.PATTERN
+    ranks = bpe.read_ranks(path)
+    own, rng, calls = bpe.Encoder(ranks, pattern), random.Random(8), []
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    search = own._search
+    own._search = lambda *piece: calls.append(piece) or search(*piece)
+    texts = [" ".join("".join(rng.choice("abeinrst\u00e9\u6f22.'9") for _ in range(rng.randrange(14))) for _ in range(300)) for _ in range(10)]
+    texts += ["", " ", "\n\n a", "ab" * bpe._LONG, "#" * (bpe._LONG + 1) + " x"]
+    for _ in range(2):
+        assert [np.frombuffer(ids, dtype=np.int32).tolist() for ids in own.packed(texts)] == [library.encode_ordinary(t) for t in texts]
+    assert len(calls) < 500  # of some thousands of pieces; texts without runs of white space ask in few calls
+
+
+def test_bpe_workers_forget_words(spark, odd):
+    path, pattern = public_tokenizers.path(queries.VOCABULARY), public_tokenizers.PATTERN
+
+    def remembered(batches):
+        for batch in batches:
+            if bpe.encoder.cache_info().currsize:
+                kept = bpe.encoder(path, pattern)
+                yield pa.RecordBatch.from_pydict({"n": [len(kept.young) + len(kept.old)]})
+
+    assert bpe.round_trip(odd, path, pattern).where("size(ids) > 0").count()
+    got = spark.range(0, 64, 1, 8).mapInArrow(remembered, "n long").collect()
+    assert got and not any(n for n, in got)
+
+
 def held_out_accuracy(docs, scored, labels, column, modulus, part, threshold):
     known = {r[0]: r[1] for r in labels.select("doc_id", column).collect()}
     rows = [(r[-1] >= threshold, known[r[0]]) for r in scored.collect() if r[0] in known and zlib.crc32(str(r[0]).encode()) % modulus == part]
