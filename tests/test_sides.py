@@ -50,6 +50,17 @@ def test_a_long_segment_is_broadcast_once(spark, monkeypatch):
     assert {r["k"]: r["w"] and r["w"]["v"]["v"] for r in out.collect()} == {k: k if 0 < k * 30 - 300 < 2400 else None for k in range(100)}
 
 
+def test_many_blocks_are_not_broadcast(spark, tmp_path):
+    """A small file of 20,000 rows makes 400,000 blocks, which the planner takes for as small as the file."""
+    spark.range(20000).selectExpr("id AS k", "id AS ord", f"id % 9 * {DAY} AS fecha_ini", f"(2000 + id % 300) * {DAY} AS fecha_fin").write.parquet(f"{tmp_path}/dim")
+    dim = spark.read.parquet(f"{tmp_path}/dim")
+    out = intervals.resolve(dim, {"k": F.col("k")}, {"ord": F.col("ord")})
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.where("__first <= 1000 AND __until > 1000 AND __bucket = 1").count() == 20000
+    few = intervals.resolve(dim.where("k < 100"), {"k": F.col("k")}, {"ord": F.col("ord")})
+    assert "strategy=merge" not in strategies(few)
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 @pytest.mark.parametrize("whole", [1000, 64])
 def test_whole_and_spread_segments_equal_a_loop(spark, monkeypatch, whole, broadcast):
